@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import eda
 from ..operators import features as feat
 from ..operators import prepare as prep
 from ..schema import FAMILIES
@@ -102,3 +103,36 @@ def _features(families):
 for _family in FAMILIES:
     QUERIES[f"feat_{_family}"] = _features([_family])
 QUERIES["feat_all"] = _features(None)
+
+
+# ------------------------------------------------------------- step 4: EDA
+
+def _train_inputs(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    i.train_history = prep.prepare(i.tx, i.train)
+    return i
+
+
+def _eda(fn, needs_history=True):
+    def run(spark, sf_dir):
+        i = _train_inputs(spark, sf_dir)
+        return normalise(fn(i.train, i.train_history) if needs_history else fn(i.train))
+    return run
+
+
+QUERIES["eda_target"] = _eda(eda.target, needs_history=False)
+QUERIES["eda_weekly_volume"] = lambda spark, sf_dir: normalise(
+    eda.weekly_volume(_train_inputs(spark, sf_dir).train_history))
+QUERIES["eda_direction"] = lambda spark, sf_dir: normalise(
+    eda.direction_counts(_train_inputs(spark, sf_dir).train_history))
+QUERIES["eda_types"] = lambda spark, sf_dir: normalise(
+    eda.type_counts(_train_inputs(spark, sf_dir).train_history))
+QUERIES["eda_amount_by_outcome"] = _eda(eda.amount_by_outcome)
+QUERIES["eda_volume_by_outcome"] = _eda(eda.volume_by_outcome)
+QUERIES["eda_days_before_hist"] = _eda(eda.days_before_hist)
+QUERIES["eda_type_by_outcome"] = _eda(eda.type_by_outcome)
+QUERIES["eda_days_before_share"] = _eda(eda.days_before_share)
+QUERIES["eda_type_mix_share"] = _eda(eda.type_mix_share)
+QUERIES["eda_headline"] = _eda(eda.headline)
+QUERIES["history_profile"] = lambda spark, sf_dir: normalise(
+    eda.history_profile(_train_inputs(spark, sf_dir).train_history))

@@ -226,3 +226,73 @@ def features_sql(families=None) -> str:
 for _family in FAMILIES:
     ORACLE[f"feat_{_family}"] = features_sql([_family])
 ORACLE["feat_all"] = features_sql(None)
+
+
+# ------------------------------------------------------------------ EDA
+
+OUTCOME_SQL = "CASE label WHEN 0 THEN 'Dismissed' WHEN 1 THEN 'Escalated' END"
+TRAIN_CTES = ("""ta AS (SELECT * FROM alerts WHERE split = 'train')""",
+              """th AS (SELECT h.*, l.label FROM h JOIN (SELECT alert_id, min(label) AS label FROM ta GROUP BY alert_id) l
+                 ON h.alert_id = l.alert_id)""")
+
+ORACLE["eda_target"] = with_ctes(*TRAIN_CTES) + f"""
+SELECT {OUTCOME_SQL} AS outcome, count(*) AS alerts FROM ta GROUP BY 1"""
+
+ORACLE["eda_weekly_volume"] = with_ctes(*TRAIN_CTES, """
+wk AS (SELECT CAST(date_trunc('week', tx_ts) AS DATE) + 6 AS week_end, count(*) AS n FROM th GROUP BY 1),
+cal AS (SELECT CAST(unnest(generate_series(min(week_end), max(week_end), INTERVAL 7 DAY)) AS DATE) AS week_end FROM wk)""") + """
+SELECT cal.week_end, CAST(coalesce(wk.n, 0) AS BIGINT) AS transactions FROM cal LEFT JOIN wk USING (week_end)"""
+
+ORACLE["eda_direction"] = with_ctes(*TRAIN_CTES, """
+cats AS (SELECT * FROM (VALUES ('in'), ('out')) v(direction))""") + """
+SELECT cats.direction, c.n AS transactions FROM cats
+LEFT JOIN (SELECT direction, count(*) AS n FROM th GROUP BY 1) c USING (direction)"""
+
+ORACLE["eda_types"] = with_ctes(*TRAIN_CTES, """
+cats AS (SELECT * FROM (VALUES ('card'), ('bank'), ('cash'), ('intl')) v(type))""") + """
+SELECT cats.type, c.n AS transactions FROM cats
+LEFT JOIN (SELECT tx_type AS type, count(*) AS n FROM th GROUP BY 1) c USING (type)"""
+
+ORACLE["eda_amount_by_outcome"] = with_ctes(*TRAIN_CTES) + f"""
+SELECT {OUTCOME_SQL} AS outcome, count(amount) AS count, {d('avg(amount)')} AS mean,
+       {d('quantile_cont(amount, 0.5)')} AS median, {d('stddev_samp(amount)')} AS std
+FROM th GROUP BY label"""
+
+ORACLE["eda_volume_by_outcome"] = with_ctes(*TRAIN_CTES, """
+pa AS (SELECT alert_id, label, count(*) AS n FROM th GROUP BY alert_id, label)""") + f"""
+SELECT {OUTCOME_SQL} AS outcome, {d('avg(n)')} AS mean, {d('quantile_cont(n, 0.5)')} AS median,
+       {d('min(n)')} AS min, {d('max(n)')} AS max
+FROM pa GROUP BY label"""
+
+ORACLE["eda_days_before_hist"] = with_ctes(*TRAIN_CTES) + f"""
+SELECT {d('floor(days_before / 10) * 10')} AS bucket, {OUTCOME_SQL} AS outcome, count(*) AS transactions
+FROM th WHERE days_before < 180 GROUP BY 1, 2"""
+
+ORACLE["eda_type_by_outcome"] = with_ctes(*TRAIN_CTES) + f"""
+SELECT tx_type, {OUTCOME_SQL} AS outcome, count(*) AS transactions
+FROM th WHERE tx_type IS NOT NULL GROUP BY 1, 2"""
+
+ORACLE["eda_days_before_share"] = with_ctes(*TRAIN_CTES, f"""
+hb AS (SELECT floor(days_before / 10) * 10 AS bucket, {OUTCOME_SQL} AS outcome, count(*) AS n
+       FROM th WHERE days_before < 180 GROUP BY 1, 2)""") + f"""
+SELECT {d('bucket')} AS bucket, outcome, {d('CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY outcome)')} AS share FROM hb"""
+
+ORACLE["eda_type_mix_share"] = with_ctes(*TRAIN_CTES, f"""
+tb AS (SELECT tx_type, {OUTCOME_SQL} AS outcome, count(*) AS n FROM th WHERE tx_type IS NOT NULL GROUP BY 1, 2),
+sh AS (SELECT tx_type, outcome, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY outcome) AS share FROM tb)""") + f"""
+SELECT tx_type, {d("max(share) FILTER (WHERE outcome = 'Dismissed')")} AS Dismissed,
+       {d("max(share) FILTER (WHERE outcome = 'Escalated')")} AS Escalated
+FROM sh GROUP BY tx_type"""
+
+ORACLE["eda_headline"] = with_ctes(*TRAIN_CTES) + f"""
+SELECT {d('avg(CAST(label AS DOUBLE))')} AS escalation_rate, count(*) AS alerts,
+       (SELECT count(*) FROM th) AS transactions,
+       min(alert_date) AS first_alert_date, max(alert_date) AS last_alert_date
+FROM ta"""
+
+ORACLE["history_profile"] = with_ctes(*TRAIN_CTES) + f"""
+SELECT count(days_before) AS count, {d('avg(days_before)')} AS mean, {d('stddev_samp(days_before)')} AS std,
+       {d('min(days_before)')} AS min, {d('quantile_cont(days_before, 0.25)')} AS p25,
+       {d('quantile_cont(days_before, 0.5)')} AS p50, {d('quantile_cont(days_before, 0.75)')} AS p75,
+       {d('max(days_before)')} AS max
+FROM th"""
