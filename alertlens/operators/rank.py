@@ -70,16 +70,20 @@ def grouped_auc(df: DataFrame, keys: Sequence[str], score: str, label: str,
     return out.drop(ALL) if not keys else out
 
 
-def permute(df: DataFrame, id_col: str, value_col: str, seed: str | int,
+def permute(df: DataFrame, id_col: str, value_col: str, seed,
             keys: Sequence[str] = ()) -> DataFrame:
     """Deterministic shuffle of ``value_col`` across rows (within ``keys``).
 
-    Position join: rows ranked by ``md5(id)`` receive the value of the row at
-    the same rank under ``md5(id:seed)``.  Independent of partitioning."""
+    Position join: the row at rank p under ``md5(id)`` receives the value of
+    the row at rank p under ``md5(id || ':' || seed)``.  ``seed`` is a literal
+    or the name of a column (one shuffle per seed value when it is a key).
+    Independent of partitioning; both rankings are distributed."""
     keys = list(keys)
+    seed_expr = F.col(seed) if isinstance(seed, str) and seed in df.columns else F.lit(str(seed))
     base = df.withColumn("_h0", F.md5(F.col(id_col).cast("string")))
-    base = base.withColumn("_h1", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))))
-    left = row_number(base.drop(value_col), keys, "_h0", "_pos")
+    base = base.withColumn("_h1", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(":"),
+                                                 seed_expr.cast("string"))))
+    left = row_number(base.drop(value_col, "_h1"), keys, "_h0", "_pos")
     right = row_number(base.select(*keys, "_h1", value_col), keys, "_h1", "_pos")
     out = left.join(right.select(*keys, "_pos", value_col), [*keys, "_pos"])
-    return out.drop("_h0", "_h1", "_pos")
+    return out.drop("_h0", "_pos")

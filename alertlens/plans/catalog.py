@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import eda
+from ..operators import blend, check, eda, folds, impute, rank
 from ..operators import features as feat
 from ..operators import prepare as prep
-from ..schema import FAMILIES
+from ..schema import ALERT_ID, FAMILIES, LABEL, SPLIT
+from . import integrity
+from . import scoring as sc
 from ..sources import driver_tables as dt
 
 ROUND = 6
@@ -136,3 +138,118 @@ QUERIES["eda_type_mix_share"] = _eda(eda.type_mix_share)
 QUERIES["eda_headline"] = _eda(eda.headline)
 QUERIES["history_profile"] = lambda spark, sf_dir: normalise(
     eda.history_profile(_train_inputs(spark, sf_dir).train_history))
+
+
+# ------------------------------------- steps 5-6: ranks, folds, blends, checks
+
+def _q(fn):
+    def run(spark, sf_dir):
+        return normalise(fn(Inputs(spark, sf_dir)))
+    return run
+
+
+def _stratified_folds(i):
+    return folds.stratified_folds(sc.train_frame(i), n_repeats=sc.N_REPEATS)
+
+
+def _holdout_split(i):
+    return folds.holdout_split(sc.train_frame(i), fraction=0.2)
+
+
+def _median_impute(i):
+    return sc.imputed(i).select(ALERT_ID, *feat.feature_columns())
+
+
+def _auc_by_column(i):
+    long = impute.long_format(sc.train_frame(i), feat.feature_columns(), [ALERT_ID, LABEL])
+    return rank.grouped_auc(long, ["column"], "value", LABEL)
+
+
+def _rank_percentile(i):
+    pct = rank.rank_percentile(sc.standin_long(sc.train_frame(i)), ["model"], "score", "pct")
+    return pct.select(ALERT_ID, "model", "pct")
+
+
+def _union_split(i):
+    f = sc.feature_frame(i)
+    train = f.where(F.col(SPLIT) == "train").select(ALERT_ID, *feat.feature_columns())
+    test = f.where(F.col(SPLIT) == "test").select(ALERT_ID, *feat.feature_columns())
+    common = [c for c in train.columns if c in test.columns]
+    return (train.select(*common).withColumn("is_test", F.lit(0))
+            .unionByName(test.select(*common).withColumn("is_test", F.lit(1))))
+
+
+def _null_verdict(i):
+    frame = sc.train_frame(i).select(ALERT_ID, LABEL, F.col(sc.STANDIN_MODELS[0]).alias("score"))
+    seeds = frame.withColumn("seed", F.explode(F.array(*[F.lit(folds.SEED + p)
+                                                         for p in range(sc.N_PERMUTATIONS)])))
+    shuffled = rank.permute(seeds, ALERT_ID, LABEL, "seed", keys=["seed"])
+    aucs = rank.grouped_auc(shuffled, ["seed"], "score", LABEL).select(F.col("auc").alias("score"))
+    n_rows = frame.agg(F.count(F.lit(1))).scalar()
+    return integrity.judge_null(aucs, n_rows)
+
+
+def _repeat_aucs(i):
+    oof = sc.standin_oof(sc.train_frame(i))
+    return rank.grouped_auc(oof, ["model", "repeat"], "score", LABEL)
+
+
+def _cv_summary(i):
+    per = _repeat_aucs(i)
+    return per.groupBy("model").agg(
+        F.avg("auc").alias("cv_mean"), F.stddev_pop("auc").alias("cv_std")).withColumn(
+        "score", F.col("cv_mean") - F.col("cv_std"))
+
+
+def _rank_average(i):
+    return blend.rank_average(sc.standin_long(sc.train_frame(i)), sc.STANDIN_MODELS)
+
+
+def _blend_by_repeat(i):
+    train = sc.train_frame(i)
+    oof = sc.standin_oof(train)
+    per = blend.score_blend(oof, train, sc.STANDIN_MODELS)
+    return (per.withColumn("blend_mean", per.agg(F.avg("auc")).scalar())
+            .withColumn("blend_std", per.agg(F.stddev_pop("auc")).scalar()))
+
+
+def _weight_grid(i):
+    return blend.weight_grid(sc.standin_pct_wide(sc.train_frame(i)), sc.GRID_MODELS)
+
+
+def _weight_choice(i):
+    return blend.choose_weights(sc.standin_pct_wide(sc.train_frame(i)), sc.GRID_MODELS)
+
+
+def _test_scores(i):
+    return blend.rank_average(sc.standin_long(sc.test_frame(i)), sc.STANDIN_MODELS)
+
+
+def _result_check(i):
+    return check.check_result(_test_scores(i).select(ALERT_ID, "score"), i.test.select(ALERT_ID))
+
+
+def _result_ordered(i):
+    expected = check.expected_with_ordinal(
+        i.test.select(ALERT_ID, F.md5(F.col(ALERT_ID).cast("string")).alias("_order")), "_order")
+    return check.ordered_result(_test_scores(i), expected)
+
+
+def _top_columns(i):
+    aucs = _auc_by_column(i)
+    return rank.row_number(aucs.select("column", "auc").withColumn(
+        "_key", F.struct(-F.round("auc", blend.AUC_TIE_DIGITS), F.col("column"))),
+        [], "_key", "rank").where(F.col("rank") <= sc.TOP_K).drop("_key")
+
+
+for _name, _fn in {
+    "stratified_folds": _stratified_folds, "holdout_split": _holdout_split,
+    "median_impute": _median_impute, "roc_auc_by_column": _auc_by_column,
+    "rank_percentile": _rank_percentile, "union_split": _union_split,
+    "null_verdict": _null_verdict, "cv_summary": _cv_summary,
+    "rank_average": _rank_average, "blend_by_repeat": _blend_by_repeat,
+    "weight_grid": _weight_grid, "weight_choice": _weight_choice,
+    "result_check": _result_check, "result_ordered": _result_ordered,
+    "top_columns": _top_columns,
+}.items():
+    QUERIES[_name] = _q(_fn)

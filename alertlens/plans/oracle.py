@@ -205,7 +205,8 @@ def _family_sql(name: str) -> tuple[list[str], str, dict[str, str]]:
 _INTEGER_FEATURES = {"sig_month", "sig_dow", "sig_day", "sig_tnum", "sig_same_day_n", "hour_dow_nuniq"}
 
 
-def features_sql(families=None) -> str:
+def feature_parts(families=None, raw: bool = False) -> tuple[list[str], str]:
+    """(CTEs, SELECT over idx) of the feature frame; ``raw`` skips rounding."""
     names = list(families) if families else list(FAMILIES)
     ctes, joins, select = [], [], ["idx.alert_id"]
     for n in names:
@@ -218,9 +219,16 @@ def features_sql(families=None) -> str:
                 select.append(f"CAST(coalesce({expr}, 0) AS BIGINT) AS {col}")
             elif col in _INTEGER_FEATURES:
                 select.append(f"CAST({expr} AS BIGINT) AS {col}")
+            elif raw:
+                select.append(f"CAST({expr} AS DOUBLE) AS {col}")
             else:
                 select.append(f"{d(expr)} AS {col}")
-    return with_ctes(*ctes) + "SELECT " + ",\n  ".join(select) + "\nFROM idx\n" + "\n".join(joins)
+    return ctes, "SELECT " + ",\n  ".join(select) + "\nFROM idx\n" + "\n".join(joins)
+
+
+def features_sql(families=None) -> str:
+    ctes, body = feature_parts(families)
+    return with_ctes(*ctes) + body
 
 
 for _family in FAMILIES:
@@ -296,3 +304,207 @@ SELECT count(days_before) AS count, {d('avg(days_before)')} AS mean, {d('stddev_
        {d('quantile_cont(days_before, 0.5)')} AS p50, {d('quantile_cont(days_before, 0.75)')} AS p75,
        {d('max(days_before)')} AS max
 FROM th"""
+
+
+# ------------------------------------------------ ranks, folds, blends, checks
+
+def _model_ctes() -> list[str]:
+    from ..operators.features import feature_columns
+    cols = feature_columns()
+    ctes, body = feature_parts(None, raw=True)
+    med = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS {c}" for c in cols)
+    imp = ", ".join(f"coalesce(CAST(fl.{c} AS DOUBLE), coalesce(med.{c}, 0.0)) AS {c}" for c in cols)
+    return ctes + [
+        f"feat AS ({body})",
+        "fl AS (SELECT feat.*, a.label, a.split FROM feat JOIN alerts a ON feat.alert_id = a.alert_id)",
+        f"med AS (SELECT {med} FROM fl WHERE split = 'train')",
+        f"imp AS (SELECT fl.alert_id, fl.label, fl.split, {imp} FROM fl, med)",
+        "tr AS (SELECT * FROM imp WHERE split = 'train')",
+        "te AS (SELECT * FROM imp WHERE split = 'test')",
+    ]
+
+
+def pct_expr(part: str, score: str) -> str:
+    """Average-tie rank percentile over a partition."""
+    by = f"PARTITION BY {part}" if part else ""
+    sep = ", " if part else ""
+    return (f"(rank() OVER ({by} ORDER BY {score}) + (count(*) OVER (PARTITION BY {part}{sep}{score}) - 1) / 2.0 - 1)"
+            f" / greatest(count(*) OVER ({by}) - 1, 1)")
+
+
+def auc_cte(name: str, src: str, keys: list[str], score: str, label: str = "label") -> str:
+    """ROC-AUC per group by the Mann-Whitney average-rank formula."""
+    part = ", ".join(keys)
+    by = f"PARTITION BY {part}" if keys else ""
+    sep = ", " if keys else ""
+    group = f"GROUP BY {part}" if keys else ""
+    sel = f"{part}, " if keys else ""
+    return f"""{name}_r AS (SELECT {sel}{label} AS _lab,
+        rank() OVER ({by} ORDER BY {score}) + (count(*) OVER (PARTITION BY {part}{sep}{score}) - 1) / 2.0 AS _ar
+        FROM {src} WHERE {score} IS NOT NULL AND {label} IS NOT NULL),
+    {name} AS (SELECT {sel}
+        (sum(_ar) FILTER (WHERE _lab = 1) - count(*) FILTER (WHERE _lab = 1) * (count(*) FILTER (WHERE _lab = 1) + 1) / 2.0)
+          / nullif(CAST(count(*) FILTER (WHERE _lab = 1) AS DOUBLE) * count(*) FILTER (WHERE _lab = 0), 0) AS auc,
+        count(*) FILTER (WHERE _lab = 1) AS n_pos, count(*) FILTER (WHERE _lab = 0) AS n_neg
+        FROM {name}_r {group})"""
+
+
+STANDIN_MODELS = ("base_mean", "dir_sh_out", "win_rate30", "amt_q90")
+GRID_MODELS = STANDIN_MODELS[:3]
+
+
+def _standin_long(src: str, models=STANDIN_MODELS) -> str:
+    return " UNION ALL ".join(f"SELECT alert_id, label, '{m}' AS model, {m} AS score FROM {src}" for m in models)
+
+
+FOLDS_CTE = """reps AS (SELECT alert_id, label, r FROM tr, (SELECT unnest(range(4)) AS r) s),
+folds AS (SELECT alert_id, r, (row_number() OVER (PARTITION BY r, label
+            ORDER BY md5(CAST(alert_id AS VARCHAR) || ':' || CAST(42 + r AS VARCHAR))) - 1) % 5 AS fold FROM reps)"""
+
+OOF_CTES = [FOLDS_CTE,
+            f"sl AS ({_standin_long('tr')})",
+            f"""oof AS (SELECT sl.alert_id, sl.label, f.r, f.fold, sl.model,
+                {pct_expr('sl.model, f.r, f.fold', 'sl.score')} AS score
+                FROM sl JOIN folds f ON sl.alert_id = f.alert_id)"""]
+
+M = _model_ctes()
+
+ORACLE["stratified_folds"] = with_ctes(*M, FOLDS_CTE) + """
+SELECT alert_id, CAST(r AS BIGINT) AS "repeat", CAST(fold AS BIGINT) AS fold FROM folds"""
+
+ORACLE["holdout_split"] = with_ctes(*M) + """
+SELECT alert_id, CAST(label AS BIGINT) AS label,
+  row_number() OVER (PARTITION BY label ORDER BY md5(CAST(alert_id AS VARCHAR) || ':42'))
+    <= ceil(round(CAST(0.2 AS DOUBLE) * count(*) OVER (PARTITION BY label), 9)) AS is_holdout
+FROM tr"""
+
+def _imputed_select() -> str:
+    from ..operators.features import feature_columns
+    return ", ".join(f"{d(c)} AS {c}" for c in feature_columns())
+
+
+ORACLE["median_impute"] = with_ctes(*M) + f"SELECT alert_id, {_imputed_select()} FROM imp"
+
+
+def _long_cte() -> str:
+    from ..operators.features import feature_columns
+    cols = ", ".join(feature_columns())
+    return f"""lg AS (UNPIVOT (SELECT alert_id, label, {cols} FROM tr) ON {cols} INTO NAME "column" VALUE "value")"""
+
+
+ORACLE["roc_auc_by_column"] = with_ctes(*M, _long_cte(), auc_cte("ac", "lg", ['"column"'], '"value"')) + f"""
+SELECT "column", {d('auc')} AS auc, n_pos, n_neg FROM ac"""
+
+ORACLE["rank_percentile"] = with_ctes(*M, f"sl AS ({_standin_long('tr')})") + f"""
+SELECT alert_id, model, {d(pct_expr('model', 'score'))} AS pct FROM sl"""
+
+
+def _union_select() -> str:
+    from ..operators.features import feature_columns
+    return ", ".join(feature_columns())
+
+
+_FC, _FB = feature_parts(None)
+ORACLE["union_split"] = with_ctes(*_FC, f"featr AS ({_FB})") + f"""
+SELECT alert_id, {_union_select()}, CAST(CASE WHEN alert_id % 10 >= 7 THEN 1 ELSE 0 END AS BIGINT) AS is_test
+FROM featr"""
+
+ORACLE["null_verdict"] = with_ctes(*M, """
+nb AS (SELECT alert_id, label, base_mean AS score FROM tr),
+pos0 AS (SELECT alert_id, score, row_number() OVER (ORDER BY md5(CAST(alert_id AS VARCHAR))) AS p FROM nb),
+seeds AS (SELECT unnest(range(42, 47)) AS seed),
+perm AS (SELECT seed, label, row_number() OVER (PARTITION BY seed
+          ORDER BY md5(CAST(alert_id AS VARCHAR) || ':' || CAST(seed AS VARCHAR))) AS p FROM nb, seeds),
+sh AS (SELECT perm.seed, pos0.score, perm.label FROM pos0 JOIN perm ON pos0.p = perm.p)""",
+                                 auc_cte("pa", "sh", ["seed"], "score"), """
+agg AS (SELECT avg(auc) AS m, count(auc) AS n_scores, sqrt(1.0 / greatest(CAST((SELECT count(*) FROM nb) AS DOUBLE), 2.0)) AS se,
+        (SELECT count(*) FROM nb) AS n_rows FROM pa)""") + f"""
+SELECT CASE WHEN abs(m - 0.5) <= 2 * se THEN 'clean' WHEN m - 0.5 > 0.10 THEN 'leaking' ELSE 'optimistic' END AS verdict,
+       {d('m')} AS null_mean, {d('2 * se')} AS two_se, CAST(n_rows AS BIGINT) AS n_rows, CAST(n_scores AS BIGINT) AS n_scores
+FROM agg"""
+
+ORACLE["cv_summary"] = with_ctes(*M, *OOF_CTES, auc_cte("ra", "oof", ["model", "r"], "score")) + f"""
+SELECT model, {d('avg(auc)')} AS cv_mean, {d('stddev_pop(auc)')} AS cv_std, {d('avg(auc) - stddev_pop(auc)')} AS score
+FROM ra GROUP BY model"""
+
+_W = 1.0 / len(STANDIN_MODELS)
+
+
+def _blend_expr(models=STANDIN_MODELS, w=_W) -> str:
+    return "0.0 + " + " + ".join(f"{w!r} * max(pct) FILTER (WHERE model = '{m}')" for m in models)
+
+
+ORACLE["rank_average"] = with_ctes(*M, f"sl AS ({_standin_long('tr')})",
+                                   f"pc AS (SELECT alert_id, model, {pct_expr('model', 'score')} AS pct FROM sl)") + f"""
+SELECT alert_id, {d(_blend_expr())} AS score FROM pc GROUP BY alert_id"""
+
+ORACLE["blend_by_repeat"] = with_ctes(*M, *OOF_CTES, f"""
+bp AS (SELECT alert_id, label, r, model, {pct_expr('r, model', 'score')} AS pct FROM oof)""", f"""
+bl AS (SELECT alert_id, min(label) AS label, r, {_blend_expr()} AS score FROM bp GROUP BY alert_id, r)""",
+                                      auc_cte("ba", "bl", ["r"], "score")) + f"""
+SELECT CAST(r AS BIGINT) AS "repeat", {d('auc')} AS auc,
+       {d('avg(auc) OVER ()')} AS blend_mean, {d('stddev_pop(auc) OVER ()')} AS blend_std
+FROM ba"""
+
+_WIDE = [f"sg AS ({_standin_long('tr', GRID_MODELS)})",
+         f"sp AS (SELECT alert_id, label, model, {pct_expr('model', 'score')} AS pct FROM sg)",
+         "wide AS (SELECT alert_id, min(label) AS label, "
+         + ", ".join(f"max(pct) FILTER (WHERE model = '{m}') AS {m}" for m in GRID_MODELS)
+         + " FROM sp GROUP BY alert_id)",
+         """grid AS (SELECT row_number() OVER (ORDER BY a, b) - 1 AS grid_id,
+             CAST(a AS DOUBLE) / 10 AS w1, CAST(b AS DOUBLE) / 10 AS w2, CAST(10 - a - b AS DOUBLE) / 10 AS w3
+             FROM (SELECT unnest(range(11)) AS a) t1, (SELECT unnest(range(11)) AS b) t2 WHERE a + b <= 10)""",
+         f"""gs AS (SELECT grid.grid_id, wide.label,
+             0.0 + grid.w1 * wide.{GRID_MODELS[0]} + grid.w2 * wide.{GRID_MODELS[1]} + grid.w3 * wide.{GRID_MODELS[2]} AS s
+             FROM wide, grid)""",
+         auc_cte("ga", "gs", ["grid_id"], "s"),
+         """gj AS (SELECT grid.*, ga.auc FROM grid JOIN ga ON grid.grid_id = ga.grid_id)"""]
+
+ORACLE["weight_grid"] = with_ctes(*M, *_WIDE) + f"""
+SELECT CAST(grid_id AS BIGINT) AS grid_id, {d('w1')} AS w_{GRID_MODELS[0]}, {d('w2')} AS w_{GRID_MODELS[1]},
+       {d('w3')} AS w_{GRID_MODELS[2]}, {d('auc')} AS auc FROM gj"""
+
+ORACLE["weight_choice"] = with_ctes(*M, *_WIDE, f"""
+eq AS (SELECT label, ({' + '.join(f'0.0 + wide.{m}' if i == 0 else f'wide.{m}' for i, m in enumerate(GRID_MODELS))}) / {len(GRID_MODELS)} AS s FROM wide)""",
+                                    auc_cte("ea", "eq", [], "s"), """
+best AS (SELECT * FROM gj ORDER BY round(auc, 9) DESC, grid_id ASC LIMIT 1),
+ch AS (SELECT best.*, ea.auc AS equal_auc, best.auc - ea.auc >= 0.001 AS use_fit FROM best, ea)""") + f"""
+SELECT CASE WHEN use_fit THEN 'fitted' ELSE 'equal' END AS method, {d('equal_auc')} AS equal_auc,
+       {d('auc')} AS fitted_auc,
+       {d(f'CASE WHEN use_fit THEN w1 ELSE {1.0 / len(GRID_MODELS)!r} END')} AS w_{GRID_MODELS[0]},
+       {d(f'CASE WHEN use_fit THEN w2 ELSE {1.0 / len(GRID_MODELS)!r} END')} AS w_{GRID_MODELS[1]},
+       {d(f'CASE WHEN use_fit THEN w3 ELSE {1.0 / len(GRID_MODELS)!r} END')} AS w_{GRID_MODELS[2]}
+FROM ch"""
+
+_TEST_SCORES = [f"tl AS ({_standin_long('te')})",
+                f"tp AS (SELECT alert_id, model, {pct_expr('model', 'score')} AS pct FROM tl)",
+                f"ts AS (SELECT alert_id, {_blend_expr()} AS score FROM tp GROUP BY alert_id)",
+                "ex AS (SELECT alert_id FROM alerts WHERE split = 'test')"]
+
+ORACLE["result_check"] = with_ctes(*M, *_TEST_SCORES, """
+st AS (SELECT count(*) AS n_rows, count(DISTINCT alert_id) AS n_ids, count(*) FILTER (WHERE alert_id IS NULL) AS null_ids,
+       count(*) FILTER (WHERE score IS NULL) AS nulls,
+       count(*) FILTER (WHERE score IS NULL OR score < 0 OR score > 1) AS oor, count(DISTINCT score) AS dist,
+       (SELECT count(*) FROM (SELECT DISTINCT alert_id FROM ex) e WHERE alert_id NOT IN (SELECT alert_id FROM ts WHERE alert_id IS NOT NULL)) AS missing,
+       (SELECT count(*) FROM (SELECT DISTINCT alert_id FROM ts WHERE alert_id IS NOT NULL) g WHERE alert_id NOT IN (SELECT alert_id FROM ex)) AS extra,
+       (SELECT count(*) FROM ex) AS n_exp
+       FROM ts)""") + """
+SELECT * FROM (
+  SELECT 1 AS rule_id, 'columns are exactly [alert_id, score]' AS rule, true AS passed, 'got [alert_id, score]' AS detail FROM st
+  UNION ALL SELECT 2, 'row count matches expected ids', n_rows = n_exp, printf('%d rows vs %d expected', n_rows, n_exp) FROM st
+  UNION ALL SELECT 3, 'no missing ids', missing = 0, printf('%d missing', missing) FROM st
+  UNION ALL SELECT 4, 'no extra ids', extra = 0, printf('%d extra', extra) FROM st
+  UNION ALL SELECT 5, 'no duplicate ids', n_rows - n_ids - least(null_ids, 1) = 0,
+            printf('%d duplicated', n_rows - n_ids - least(null_ids, 1)) FROM st
+  UNION ALL SELECT 6, 'no null scores', nulls = 0, printf('%d null', nulls) FROM st
+  UNION ALL SELECT 7, 'all scores within [0, 1]', oor = 0, printf('%d out of range', oor) FROM st
+  UNION ALL SELECT 8, 'predictions are not a constant placeholder', dist > 1, printf('%d distinct value(s)', dist) FROM st)"""
+
+ORACLE["result_ordered"] = with_ctes(*M, *_TEST_SCORES, """
+eo AS (SELECT alert_id, row_number() OVER (ORDER BY md5(CAST(alert_id AS VARCHAR))) AS ordinal FROM ex)""") + f"""
+SELECT CAST(eo.ordinal AS BIGINT) AS ordinal, eo.alert_id, {d('ts.score')} AS score
+FROM eo LEFT JOIN ts ON eo.alert_id = ts.alert_id"""
+
+ORACLE["top_columns"] = with_ctes(*M, _long_cte(), auc_cte("ac", "lg", ['"column"'], '"value"'), """
+rk AS (SELECT "column", auc, row_number() OVER (ORDER BY round(auc, 9) DESC, "column" ASC) AS rn FROM ac)""") + f"""
+SELECT "column", {d('auc')} AS auc, CAST(rn AS BIGINT) AS rank FROM rk WHERE rn <= 10"""
