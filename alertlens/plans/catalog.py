@@ -253,3 +253,160 @@ for _name, _fn in {
     "top_columns": _top_columns,
 }.items():
     QUERIES[_name] = _q(_fn)
+
+
+# ------------------------------ steps 7-8: model-based queries (rows checked)
+
+def _train_raw(i):
+    return sc.feature_frame(i).where(F.col(SPLIT) == "train")
+
+
+def _test_raw(i):
+    return sc.feature_frame(i).where(F.col(SPLIT) == "test")
+
+
+REFERENCE_FAMILY_SET = feat.family_columns("direction_type") + feat.family_columns("base")
+
+
+def _repeated_cv(i):
+    from .cv import evaluate
+    from .models import make_factory
+    res = evaluate(make_factory("logreg"), _train_raw(i), REFERENCE_FAMILY_SET)
+    rows = [(r, a, res.mean, res.std, res.score) for r, a in enumerate(res.repeat_scores)]
+    return i.spark.createDataFrame(rows, "repeat int, auc double, cv_mean double, cv_std double, score double")
+
+
+def _family_history(i):
+    from .select import select_families
+    _, history = select_families(_train_raw(i), {f: feat.family_columns(f) for f in FAMILIES})
+    return i.spark.createDataFrame(
+        [(h["round"], h["family"], h["n_columns"], h["mean"], h["std"], h["score"], h["accepted"]) for h in history],
+        "round int, family string, n_columns int, mean double, std double, score double, accepted boolean")
+
+
+def _ablation_rounds(i):
+    """Per-family round number (W2) and the first-round leaderboard."""
+    from pyspark.sql import Window
+    h = _family_history(i)
+    w = Window.partitionBy("family").orderBy("round")
+    return h.withColumn("family_round", F.row_number().over(w)).withColumn(
+        "verdict", F.when(F.col("accepted"), F.lit("kept")).otherwise(F.lit("rejected")))
+
+
+def _ablation_verdict(i):
+    """Families at or below chance, families tried minus kept."""
+    h = _family_history(i)
+    return h.agg(F.count_distinct(F.when(F.col("score") <= 0.5, F.col("family"))).alias("chance_families"),
+                 (F.count_distinct("family") - F.count_distinct(F.when(F.col("accepted"), F.col("family"))))
+                 .alias("rejected_families"))
+
+
+def _rank_columns(i):
+    from .select import rank_columns
+    return rank_columns(_train_raw(i), feat.feature_columns())
+
+
+def _eliminate_columns(i):
+    from .select import eliminate_columns
+    kept = eliminate_columns(_train_raw(i), feat.feature_columns())
+    return i.spark.createDataFrame([(c,) for c in kept], "column string")
+
+
+def _select_prefix(i):
+    from .select import select_columns_globally
+    cols, trace = select_columns_globally(_train_raw(i), feat.feature_columns())
+    return i.spark.createDataFrame(
+        [(t["size"], t["mean"], t["std"], t["score"], t["size"] == len(cols)) for t in trace],
+        "size int, mean double, std double, score double, chosen boolean")
+
+
+def _drift_report(i):
+    from .drift import drift_report
+    auc, ranked = drift_report(_train_raw(i), _test_raw(i), feat.feature_columns())
+    return ranked.withColumn("auc", F.lit(auc))
+
+
+def _bagged_scores(i):
+    from .models import bagged_predict
+    return bagged_predict("logreg", None, _train_raw(i), _test_raw(i), REFERENCE_FAMILY_SET)
+
+
+def _tune_trials(i):
+    from .tune import tune
+    _, table = tune("logreg", _train_raw(i), REFERENCE_FAMILY_SET, n_trials=40)
+    return table
+
+
+def _holdout_estimate(i):
+    from .integrity import holdout_estimate
+    r = holdout_estimate(_train_raw(i), feat.feature_columns())
+    return i.spark.createDataFrame(
+        [(r["cv_mean"], r["cv_std"], r["holdout_auc"], r["optimism"], r["n_train"], r["n_holdout"],
+          len(r["columns"]))],
+        "cv_mean double, cv_std double, holdout_auc double, optimism double, n_train long, "
+        "n_holdout long, n_columns int")
+
+
+def _permutation_null(i):
+    from .integrity import judge_null, permutation_test
+    train = _train_raw(i)
+    observed, nulls = permutation_test(train, feat.feature_columns())
+    scores = i.spark.createDataFrame([(float(s),) for s in nulls], "score double")
+    verdict = judge_null(scores, train.count()).first()
+    rows = [("observed", 0, float(observed), verdict["verdict"])] + \
+        [("null", k + 1, float(s), verdict["verdict"]) for k, s in enumerate(nulls)]
+    return i.spark.createDataFrame(rows, "kind string, draw int, score double, verdict string")
+
+
+def _file_audit(i):
+    from ..sources.audit import audit_parquet
+    return audit_parquet(i.spark, i.sf_dir).select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "head_magic", "tail_magic",
+        "readable", "replacement_chars")
+
+
+def _publish_guard(i):
+    th = prep.prepare(i.tx, i.train)
+    tables = {"target": eda.target(i.train), "weekly_volume": eda.weekly_volume(th),
+              "direction": eda.direction_counts(th), "types": eda.type_counts(th),
+              "amount_by_outcome": eda.amount_by_outcome(i.train, th),
+              "volume_by_outcome": eda.volume_by_outcome(i.train, th),
+              "days_before_hist": eda.days_before_hist(i.train, th),
+              "type_by_outcome": eda.type_by_outcome(i.train, th)}
+    return eda.publish_guard(tables)
+
+
+def _out_dir(i, name):
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(i.spark).rstrip('/')}/alertlens-{name}"
+
+
+def _run_log(i):
+    from ..sources.sinks import log_run
+    from .cv import evaluate
+    from .models import make_factory
+    res = evaluate(make_factory("logreg"), _train_raw(i), REFERENCE_FAMILY_SET)
+    return log_run(i.spark, _out_dir(i, "log"), mean=res.mean, std=res.std, families=["direction_type", "base"],
+                   n_columns=len(REFERENCE_FAMILY_SET), model="logreg", params={"C": 0.1})
+
+
+def _score_and_write(i):
+    from .run import predict_and_write
+    out = _out_dir(i, "result")
+    drift = predict_and_write(i.spark, _train_raw(i), _test_raw(i), i.test.select(ALERT_ID),
+                              REFERENCE_FAMILY_SET, {"logreg": 1.0}, {"logreg": None}, out)
+    written = i.spark.read.option("header", True).csv(f"{out}/result")
+    return written.withColumn("adversarial_auc", F.lit(drift["adversarial_auc"]))
+
+
+for _name, _fn in {
+    "repeated_cv": _repeated_cv, "select_families": _family_history,
+    "ablation_rounds": _ablation_rounds, "ablation_verdict": _ablation_verdict,
+    "rank_columns": _rank_columns, "eliminate_columns": _eliminate_columns,
+    "select_prefix": _select_prefix, "drift_report": _drift_report,
+    "bagged_scores": _bagged_scores, "tune_trials": _tune_trials,
+    "holdout_estimate": _holdout_estimate, "permutation_null": _permutation_null,
+    "file_audit": _file_audit, "publish_guard": _publish_guard,
+    "run_log": _run_log, "score_and_write": _score_and_write,
+}.items():
+    QUERIES[_name] = _q(_fn)

@@ -25,3 +25,69 @@ def judge_null(null_scores: DataFrame, n_rows: Column | int, score_col: str = "s
          .otherwise(F.lit("optimistic")).alias("verdict"),
         F.col("null_mean"), (F.lit(SE_MULTIPLE) * se).alias("two_se"),
         n.cast("long").alias("n_rows"), F.col("n_scores"))
+
+
+def _select_and_score(frame, columns, model, sizes, label="label"):
+    from .cv import evaluate_many
+    from .models import make_factory
+    from .select import rank_columns
+    ranked = [r["column"] for r in rank_columns(frame, columns, model, n_repeats=3, label=label).collect()]
+    cands = {str(s): ranked[:s] for s in sizes if s <= len(ranked)}
+    if not cands:
+        cands = {"all": ranked}
+    res = evaluate_many(make_factory(model), frame, cands, n_repeats=2, label=label)
+    best = max(res.values(), key=lambda r: r.mean)
+    return best.mean
+
+
+def permutation_test(frame: DataFrame, columns, model: str = "logreg", n_permutations: int = 5,
+                     sizes=(10, 20, 30), simulate_leak: bool = False, label: str = "label"):
+    """Observed select-and-score, and the same under ``n_permutations`` label
+    shuffles (position join on md5 ranks; seed 42+p).  ``simulate_leak`` adds
+    a column equal to the labels in use, so the check can be shown to fire."""
+    from ..operators.rank import permute
+    from ..schema import ALERT_ID
+    cols = list(columns) + (["_leak"] if simulate_leak else [])
+
+    def with_leak(df):
+        return df.withColumn("_leak", F.col(label).cast("double")) if simulate_leak else df
+
+    observed = _select_and_score(with_leak(frame), cols, model, sizes, label)
+    nulls = []
+    for p in range(n_permutations):
+        shuffled = permute(frame, ALERT_ID, label, 42 + p).checkpoint()
+        nulls.append(_select_and_score(with_leak(shuffled), cols, model, sizes, label))
+    return observed, nulls
+
+
+def holdout_estimate(frame: DataFrame, columns, model: str = "logreg",
+                     sizes=(10, 15, 20, 25, 30, 40), fraction: float = 0.2,
+                     tune_trials: int = 0, label: str = "label") -> dict:
+    """Select (and optionally tune) on 80 %, score the untouched 20 % once."""
+    from ..operators.folds import holdout_split
+    from ..operators.impute import apply_medians, fit_medians
+    from ..operators.rank import grouped_auc
+    from ..schema import ALERT_ID
+    from .cv import evaluate_many
+    from .models import assemble, fit, make_factory, predict
+    from .select import rank_columns
+    split = holdout_split(frame, fraction=fraction, label=label).select(ALERT_ID, "is_holdout")
+    keyed = frame.join(split, ALERT_ID).checkpoint()
+    train, hold = keyed.where(~F.col("is_holdout")), keyed.where(F.col("is_holdout"))
+    ranked = [r["column"] for r in rank_columns(train, columns, model, label=label).collect()]
+    cands = {str(s): ranked[:s] for s in sizes if s <= len(ranked)} or {"all": ranked}
+    res = evaluate_many(make_factory(model), train, cands, label=label)
+    best_key = max(cands, key=lambda k: (res[k].mean, -len(cands[k])))
+    chosen = cands[best_key]
+    params = None
+    if tune_trials:
+        from .tune import tune
+        params, _ = tune(model, train, chosen, n_trials=tune_trials)
+    medians = fit_medians(train, chosen)
+    tr = assemble(apply_medians(train, medians), chosen, keep=(ALERT_ID, label))
+    ho = assemble(apply_medians(hold, medians), chosen, keep=(ALERT_ID, label))
+    est = fit(make_factory(model, params), tr, 42, tr.count())
+    auc = grouped_auc(predict(est, ho, keep=(ALERT_ID, label)), [], "score", label).first()["auc"]
+    return {"cv_mean": res[best_key].mean, "cv_std": res[best_key].std, "holdout_auc": float(auc),
+            "optimism": res[best_key].mean - float(auc), "n_train": train.count(),
+            "n_holdout": hold.count(), "columns": chosen, "params": params}
