@@ -13,9 +13,9 @@ from ..functions.columns import nan_to_null
 from ..schema import ALERT_DATE, ALERT_ID, AMOUNT, DIRECTION, LABEL, TX_TS, TX_TYPE
 from .audit import CorruptParquetError, audit_parquet
 
-# Column names of the reference's raw files -> ours.
-RAW_ALERT_COLUMNS = {"id": ALERT_ID, "date": ALERT_DATE, "label": LABEL}
-RAW_TX_COLUMNS = {"id": ALERT_ID, "ts": TX_TS, "direction": DIRECTION, "type": TX_TYPE, "amount": AMOUNT}
+# Our column -> column name in the raw files (defaults; pass your own mapping).
+RAW_ALERT_COLUMNS = {ALERT_ID: "id", ALERT_DATE: "date", LABEL: "label"}
+RAW_TX_COLUMNS = {ALERT_ID: "id", TX_TS: "ts", DIRECTION: "direction", TX_TYPE: "type", AMOUNT: "amount"}
 
 
 def read_alerts(spark: SparkSession, path: str, columns: dict[str, str] | None = None,
@@ -24,10 +24,10 @@ def read_alerts(spark: SparkSession, path: str, columns: dict[str, str] | None =
     cols = columns or RAW_ALERT_COLUMNS
     reader = spark.read.option("header", True)
     raw = reader.csv(path, inferSchema=False) if fmt == "csv" else spark.read.format(fmt).load(path)
-    out = [F.col(cols["id"]).cast("string").alias(ALERT_ID),
-           F.to_timestamp_ntz(F.col(cols["date"]).cast("string")).alias(ALERT_DATE)]
-    if cols.get("label") in raw.columns:
-        out.append(F.col(cols["label"]).cast("int").alias(LABEL))
+    out = [F.col(cols[ALERT_ID]).cast("string").alias(ALERT_ID),
+           F.to_timestamp_ntz(F.col(cols[ALERT_DATE]).cast("string")).alias(ALERT_DATE)]
+    if cols.get(LABEL) in raw.columns:
+        out.append(F.col(cols[LABEL]).cast("int").alias(LABEL))
     return raw.select(*out)
 
 
@@ -39,11 +39,11 @@ def read_transactions(spark: SparkSession, path: str, columns: dict[str, str] |
     try:
         raw = spark.read.parquet(path)
         df = raw.select(
-            F.col(cols["id"]).cast("string").alias(ALERT_ID),
-            F.col(cols["ts"]).cast("timestamp_ntz").alias(TX_TS),
-            F.col(cols["direction"]).cast("string").alias(DIRECTION),
-            F.col(cols["type"]).cast("string").alias(TX_TYPE),
-            nan_to_null(F.col(cols["amount"]).cast("double")).alias(AMOUNT))
+            F.col(cols[ALERT_ID]).cast("string").alias(ALERT_ID),
+            F.col(cols[TX_TS]).cast("timestamp_ntz").alias(TX_TS),
+            F.col(cols[DIRECTION]).cast("string").alias(DIRECTION),
+            F.col(cols[TX_TYPE]).cast("string").alias(TX_TYPE),
+            nan_to_null(F.col(cols[AMOUNT]).cast("double")).alias(AMOUNT))
         df.limit(1).collect()          # touch the footer(s) now, not deep inside a job
         return df
     except CorruptParquetError:
