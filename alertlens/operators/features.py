@@ -226,6 +226,8 @@ def _ordered_frames(history: DataFrame, want_amount: bool, want_burst: bool) ->
             for name, q in AMOUNT_QUANTILES:
                 p = f"_p{int(round(q * 100))}"
                 pivot.append(F.max(F.when(F.col("_stat") == "amount", F.col(p))).alias(name))
+            # distinct non-NULL amounts fall out of the (alert, value) pre-aggregation
+            pivot.append(F.max(F.when(F.col("_stat") == "amount", F.col("n_distinct"))).alias("_amt_nuniq"))
         if want_burst:
             pivot += [F.max(F.when(F.col("_stat") == "gap", F.col("_p50"))).alias("burst_gap_med"),
                       F.max(F.when(F.col("_stat") == "gap", F.col("_p90"))).alias("burst_gap_q90")]
@@ -237,9 +239,6 @@ def _ordered_frames(history: DataFrame, want_amount: bool, want_burst: bool) ->
 def _distinct_frames(history: DataFrame, want_amount: bool, want_hour: bool) -> list[DataFrame]:
     A, _ = _ad()
     frames = []
-    if want_amount:
-        frames.append(history.where(A.isNotNull()).select(ALERT_ID, AMOUNT).distinct()
-                      .groupBy(ALERT_ID).agg(F.count(F.lit(1)).alias("_amt_nuniq")))
     if want_hour:
         days = history.groupBy(ALERT_ID, "tx_date").agg(F.min("dow").alias("dow"))
         frames.append(days.groupBy(ALERT_ID).agg(

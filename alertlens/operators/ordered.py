@@ -211,11 +211,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     position ``q*(n-1)`` over the sorted non-NULL values, interpolated
     between its floor and ceiling.  Ties are pre-aggregated (map-side) into
     counts, so the ranked table has one row per distinct value per key.
+    Also returns ``n_values`` (non-NULL count) and ``n_distinct`` per key.
     """
     keys = list(keys)
     counted = (df.where(F.col(value).isNotNull())
                .groupBy(*keys, value).agg(F.count(F.lit(1)).cast("double").alias("_w")))
-    totals = counted.groupBy(*keys).agg(F.sum("_w").alias("_n"))
+    totals = counted.groupBy(*keys).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_nd"))
     ranked = ordered_scan(counted, keys, value, weights=["_w"]).join(totals, keys)
     lo_hits, aggs = [], []
     for name, q in probs:
@@ -229,11 +230,13 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     cond = lo_hits[0]
     for c in lo_hits[1:]:
         cond = cond | c
-    picked = ranked.where(cond).groupBy(*keys).agg(F.first("_n").alias("_n"), *aggs)
+    picked = ranked.where(cond).groupBy(*keys).agg(F.first("_n").alias("_n"),
+                                                   F.first("_nd").alias("_nd"), *aggs)
     outs = []
     for name, q in probs:
         pos = F.lit(float(q)) * (F.col("_n") - 1)
         frac = pos - F.floor(pos)
         lo_v, hi_v = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         outs.append((lo_v + (hi_v - lo_v) * frac).alias(name))
-    return picked.select(*keys, *outs)
+    return picked.select(*keys, *outs, F.col("_n").cast("long").alias("n_values"),
+                         F.col("_nd").alias("n_distinct"))
