@@ -23,14 +23,26 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def micros_between(earlier: str | Column, later: str | Column) -> Column:
+    """Exact microseconds from ``earlier`` to ``later`` (TIMESTAMP_NTZ).
+
+    NTZ - NTZ is a day-time interval computed without any time zone; going
+    through ``timestamp_diff`` would cast to the session time zone and shift
+    differences that cross a daylight-saving change."""
+    iv = col(later) - col(earlier)
+    return (F.extract(F.lit("DAY"), iv).cast("long") * 86_400_000_000
+            + F.extract(F.lit("HOUR"), iv).cast("long") * 3_600_000_000
+            + F.extract(F.lit("MINUTE"), iv).cast("long") * 60_000_000
+            + (F.extract(F.lit("SECOND"), iv) * 1_000_000).cast("long"))
+
+
 def days_between(earlier: str | Column, later: str | Column) -> Column:
     """Fractional days from ``earlier`` to ``later`` with microsecond precision."""
-    return (F.timestamp_diff("MICROSECOND", col(earlier), col(later)).cast("double")
-            / F.lit(1_000_000.0) / F.lit(86_400.0))
+    return micros_between(earlier, later).cast("double") / F.lit(1_000_000.0) / F.lit(86_400.0)
 
 
 def epoch_micros(ts: str | Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col(ts))
+    return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
 def flag(cond: Column) -> Column:
