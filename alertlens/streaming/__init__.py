@@ -1,0 +1,6 @@
+"""Streaming operators.
+
+The reference has no streaming operators (no watermarks, event-time windows,
+stateful operators or late-data handling), so nothing is built here.  All
+alertlens operators are batch DataFrame jobs.
+"""
