@@ -55,11 +55,14 @@ def count_where(cond: Column) -> Column:
 
 
 def bias_corrected_skew(values: Column) -> Column:
-    """Adjusted Fisher-Pearson G1 (pandas ``skew``): NULL for n<3, 0 for constants."""
+    """Adjusted Fisher-Pearson G1 (pandas ``skew``): NULL for n<3, 0 for constants.
+
+    The constant test reuses ``stddev_samp`` (shared with base_std) rather than
+    a separate variance buffer."""
     n = F.count(values).cast("double")
     g1 = F.skewness(values)
     return (F.when(n < 3, F.lit(None).cast("double"))
-            .when(F.var_pop(values) == 0, F.lit(0.0))
+            .when(F.stddev_samp(values) == 0, F.lit(0.0))
             .otherwise(g1 * F.sqrt(n * (n - 1)) / (n - 2)))
 
 
@@ -68,5 +71,5 @@ def bias_corrected_kurt(values: Column) -> Column:
     n = F.count(values).cast("double")
     g2 = F.kurtosis(values)
     return (F.when(n < 4, F.lit(None).cast("double"))
-            .when(F.var_pop(values) == 0, F.lit(0.0))
+            .when(F.stddev_samp(values) == 0, F.lit(0.0))
             .otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)))

@@ -3,7 +3,10 @@
 Design: every algebraic statistic of every family is one aggregate
 expression in a single ``groupBy(alert_id)`` over the prepared history, so
 Spark runs partial (map-side) aggregation and one shuffle for all of them --
-a hot alert is pre-reduced on every mapper.  The few order-dependent
+a hot alert is pre-reduced on every mapper.  Aggregation buffers are kept
+lean (means are sum / count of buffers that exist anyway, shares are sums
+over the row count, identical aggregates are shared by Catalyst) so the whole
+feature set stays under the whole-stage-codegen field limit.  The few order-dependent
 statistics (exact quantiles of amounts and gaps, gaps between consecutive
 transactions) come from ``ordered_scan``, which splits hot alerts across
 tasks.  Distinct counts are two-level aggregations.  Per-alert frames are
@@ -47,23 +50,25 @@ def _sum0(c: Column) -> Column:
 
 def _base():
     A, D = _ad()
-    aggs = [F.count(A).alias("base_cnt"), F.avg(A).alias("base_mean"),
+    aggs = [F.count(A).alias("base_cnt"), F.sum(A).alias("_sum_a"),
             F.stddev_samp(A).alias("base_std"), F.min(A).alias("base_min"),
-            F.max(A).alias("base_max"), _sum0(A).alias("base_sum"),
-            (F.max(D) - F.min(D)).alias("base_span")]
-    outs = [F.col(c) for c in ("base_cnt", "base_mean", "base_std", "base_min",
-                               "base_max", "base_sum", "base_span")]
+            F.max(A).alias("base_max"), F.max(D).alias("_max_d"), F.min(D).alias("_min_d")]
+    outs = [F.col("base_cnt"), safe_div(F.col("_sum_a"), F.col("base_cnt")).alias("base_mean"),
+            F.col("base_std"), F.col("base_min"), F.col("base_max"),
+            F.coalesce(F.col("_sum_a"), F.lit(0.0)).alias("base_sum"),
+            (F.col("_max_d") - F.col("_min_d")).alias("base_span")]
     return aggs, outs
 
 
 def _amount_shape():
     A, D = _ad()
     aggs = [bias_corrected_skew(A).alias("amt_skew"), bias_corrected_kurt(A).alias("amt_kurt"),
-            F.avg(flag(A > BIG_AMOUNT)).alias("amt_big_share")]
+            F.sum(flag(A > BIG_AMOUNT)).alias("_big")]
     q = {name: F.col(name) for name, _ in AMOUNT_QUANTILES}
     outs = [q["amt_med"], q["amt_q10"], q["amt_q25"], q["amt_q75"], q["amt_q90"], q["amt_q99"],
             (q["amt_q75"] - q["amt_q25"]).alias("amt_iqr"), F.col("amt_skew"), F.col("amt_kurt"),
-            F.col("amt_big_share"), safe_div(F.col("_amt_nuniq"), F.col(N)).alias("amt_nuniq_ratio")]
+            safe_div(F.col("_big"), F.col(N)).alias("amt_big_share"),
+            safe_div(F.col("_amt_nuniq"), F.col(N)).alias("amt_nuniq_ratio")]
     return aggs, outs
 
 
@@ -74,9 +79,11 @@ def _direction_type():
         for c in cats:
             hit = F.col(column) == c
             aggs += [F.count_if(hit).alias(f"{prefix}_n_{c}"),
-                     F.avg(F.when(hit, A)).alias(f"{prefix}_m_{c}"),
-                     _sum0(F.when(hit, A)).alias(f"{prefix}_s_{c}")]
-            outs += [F.col(f"{prefix}_n_{c}"), F.col(f"{prefix}_m_{c}"), F.col(f"{prefix}_s_{c}"),
+                     F.sum(F.when(hit, A)).alias(f"_{prefix}_sum_{c}"),
+                     F.count(F.when(hit, A)).alias(f"_{prefix}_cnt_{c}")]
+            outs += [F.col(f"{prefix}_n_{c}"),
+                     safe_div(F.col(f"_{prefix}_sum_{c}"), F.col(f"_{prefix}_cnt_{c}")).alias(f"{prefix}_m_{c}"),
+                     F.coalesce(F.col(f"_{prefix}_sum_{c}"), F.lit(0.0)).alias(f"{prefix}_s_{c}"),
                      safe_div(F.col(f"{prefix}_n_{c}"), F.col(N)).alias(f"{prefix}_sh_{c}")]
     return aggs, outs
 
@@ -94,13 +101,15 @@ def _cross():
 def _flow():
     A, D = _ad()
     inc, outg = F.col("out") == 0, F.col("out") == 1
-    aggs = [_sum0(F.when(inc, A)).alias("_in_sum"), _sum0(F.when(outg, A)).alias("_out_sum"),
-            F.count(F.when(inc, A)).alias("_in_cnt"), F.count(F.when(outg, A)).alias("_out_cnt"),
-            F.avg(F.when(inc, A)).alias("_in_mean"), F.avg(F.when(outg, A)).alias("_out_mean")]
-    outs = [(F.col("_in_sum") - F.col("_out_sum")).alias("flow_net"),
-            safe_div(F.col("_out_sum"), F.abs(F.col("_in_sum")) + F.lit(1e-6)).alias("flow_ratio"),
+    aggs = [F.sum(F.when(inc, A)).alias("_in_sum"), F.sum(F.when(outg, A)).alias("_out_sum"),
+            F.count(F.when(inc, A)).alias("_in_cnt"), F.count(F.when(outg, A)).alias("_out_cnt")]
+    in_sum = F.coalesce(F.col("_in_sum"), F.lit(0.0))
+    out_sum = F.coalesce(F.col("_out_sum"), F.lit(0.0))
+    outs = [(in_sum - out_sum).alias("flow_net"),
+            safe_div(out_sum, F.abs(in_sum) + F.lit(1e-6)).alias("flow_ratio"),
             safe_div(F.col("_out_cnt"), F.col("_in_cnt") + 1).alias("flow_cnt_ratio"),
-            (F.col("_in_mean") - F.col("_out_mean")).alias("flow_mean_gap")]
+            (safe_div(F.col("_in_sum"), F.col("_in_cnt"))
+             - safe_div(F.col("_out_sum"), F.col("_out_cnt"))).alias("flow_mean_gap")]
     return aggs, outs
 
 
@@ -110,12 +119,14 @@ def _windows():
     for w in WINDOWS:
         inside = D <= F.lit(float(w))
         aggs += [F.count_if(inside).alias(f"win_n{w}"),
-                 _sum0(F.when(inside, A)).alias(f"win_sum{w}"),
-                 F.avg(F.when(inside, A)).alias(f"win_mean{w}"),
+                 F.sum(F.when(inside, A)).alias(f"_wsum{w}"),
+                 F.count(F.when(inside, A)).alias(f"_wcnt{w}"),
                  F.max(F.when(inside, A)).alias(f"win_max{w}"),
-                 F.avg(F.when(inside, F.col("out"))).alias(f"win_out{w}")]
-        outs += [F.col(f"win_n{w}"), F.col(f"win_sum{w}"), F.col(f"win_mean{w}"),
-                 F.col(f"win_max{w}"), F.col(f"win_out{w}"),
+                 F.sum(F.when(inside, F.col("out"))).alias(f"_wout{w}")]
+        outs += [F.col(f"win_n{w}"), F.coalesce(F.col(f"_wsum{w}"), F.lit(0.0)).alias(f"win_sum{w}"),
+                 safe_div(F.col(f"_wsum{w}"), F.col(f"_wcnt{w}")).alias(f"win_mean{w}"),
+                 F.col(f"win_max{w}"),
+                 safe_div(F.col(f"_wout{w}"), F.col(f"win_n{w}")).alias(f"win_out{w}"),
                  safe_div(F.col(f"win_n{w}"), F.col(N) + 1).alias(f"win_rate{w}")]
     aggs += [F.min(D).alias("win_recency"), F.max(D).alias("win_oldest")]
     outs += [safe_div(F.col("win_n7"), F.col("win_n30") / 4 + F.lit(0.1)).alias("win_accel_7_30"),
@@ -133,9 +144,10 @@ def _burst():
 
 
 def _hour():
-    aggs = [F.avg("night").alias("hour_night_share"), F.avg("weekend").alias("hour_weekend_share"),
+    aggs = [F.sum("night").alias("_night"), F.sum("weekend").alias("_weekend"),
             F.avg("hour").alias("hour_mean"), F.stddev_samp("hour").alias("hour_std")]
-    outs = [F.col("hour_night_share"), F.col("hour_weekend_share"), F.col("hour_mean"),
+    outs = [safe_div(F.col("_night"), F.col(N)).alias("hour_night_share"),
+            safe_div(F.col("_weekend"), F.col(N)).alias("hour_weekend_share"), F.col("hour_mean"),
             F.col("hour_std"), F.col("hour_dow_nuniq"), F.col("hour_active_days"),
             safe_div(F.col(N), F.col("hour_active_days")).alias("hour_tx_per_active_day")]
     return aggs, outs
