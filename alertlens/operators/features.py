@@ -293,20 +293,26 @@ def build_features(history: DataFrame, alerts: DataFrame,
         frame = frame.join(signal_date_frame(index, reference), ALERT_ID, "left")
 
     outs = [c for n in names for c in built[n][1]]
-    shaped = frame.select(ALERT_ID, *outs)
+    shaped = frame.select(ALERT_ID, *outs, F.col(N))
     expected = [ALERT_ID] + feature_columns(names)
-    if shaped.columns != expected:
+    if shaped.columns[:-1] != expected:
         raise AssertionError(f"family column listing out of sync: {shaped.columns} vs {expected}")
+    # silent alerts (no row survived the date filter) have NULL _n after the
+    # left join; a 0-filled sum is a reachable value, so they are masked here
+    has_rows = F.col(N).isNotNull()
     final = []
-    for field in shaped.schema.fields:
+    for field in shaped.schema.fields[:-1]:
         c = F.col(field.name)
         if field.name == ALERT_ID:
             final.append(c)
         elif is_count_column(field.name):
             final.append(F.coalesce(c, F.lit(0)).cast("long").alias(field.name))
+        elif field.name.startswith("sig_"):
+            final.append(c)
         elif field.dataType.typeName() == "double":
-            final.append(F.when(F.isnan(c) | F.abs(c).eqNullSafe(F.lit(float("inf"))),
-                                F.lit(None).cast("double")).otherwise(c).alias(field.name))
+            finite = F.when(F.isnan(c) | F.abs(c).eqNullSafe(F.lit(float("inf"))),
+                            F.lit(None).cast("double")).otherwise(c)
+            final.append(F.when(has_rows, finite).alias(field.name))
         else:
-            final.append(c)
+            final.append(F.when(has_rows, c).alias(field.name))
     return shaped.select(*final)
