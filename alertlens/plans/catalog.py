@@ -278,7 +278,10 @@ def _repeated_cv(i):
 
 def _family_history(i):
     from .select import select_families
-    _, history = select_families(_train_raw(i), {f: feat.family_columns(f) for f in FAMILIES})
+    # one greedy search per input: select_families, ablation_rounds and
+    # ablation_verdict all read the same trace (a few dozen metadata rows)
+    _, history = sc.memo(i, "family_trace", lambda: select_families(
+        _train_raw(i), {f: feat.family_columns(f) for f in FAMILIES}))
     return i.spark.createDataFrame(
         [(h["round"], h["family"], h["n_columns"], h["mean"], h["std"], h["score"], h["accepted"]) for h in history],
         "round int, family string, n_columns int, mean double, std double, score double, accepted boolean")

@@ -53,6 +53,15 @@ def _written(inputs) -> dict:
     return _WRITTEN[key]
 
 
+def memo(inputs, name: str, compute):
+    """Driver-side result of one input (small metadata such as a selection
+    trace), computed once per session and input like the feature table."""
+    w = _written(inputs)
+    if name not in w:
+        w[name] = compute()
+    return w[name]
+
+
 def feature_frame(inputs) -> DataFrame:
     """All alerts' 128 features (test anchored to train), written once to the
     checkpoint folder; every model loop starts from the written table."""
