@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 LEAK_EXCESS = 0.10     # null mean more than this above 0.5 -> leaking
 SE_MULTIPLE = 2.0      # |null mean - 0.5| within 2 standard errors -> clean
 # ---------------------------------------------------------------------------
+PARALLEL_DRAWS = 6     # observed + label shuffles submitted concurrently
 
 
 def judge_null(null_scores: DataFrame, n_rows: Column | int, score_col: str = "score") -> DataFrame:
@@ -52,12 +53,18 @@ def permutation_test(frame: DataFrame, columns, model: str = "logreg", n_permuta
     def with_leak(df):
         return df.withColumn("_leak", F.col(label).cast("double")) if simulate_leak else df
 
-    observed = _select_and_score(with_leak(frame), cols, model, sizes, label)
-    nulls = []
-    for p in range(n_permutations):
-        shuffled = permute(frame, ALERT_ID, label, 42 + p).checkpoint()
-        nulls.append(_select_and_score(with_leak(shuffled), cols, model, sizes, label))
-    return observed, nulls
+    def draw(p):
+        """p = -1 is the observed labels, p >= 0 the shuffle with seed 42+p."""
+        data = frame if p < 0 else permute(frame, ALERT_ID, label, 42 + p).checkpoint()
+        return _select_and_score(with_leak(data), cols, model, sizes, label)
+
+    # the draws are independent Spark job chains: submit them together from
+    # a driver thread pool so the scheduler overlaps their (often small)
+    # stages; each result is keyed by its draw, so the order is fixed
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(PARALLEL_DRAWS, n_permutations + 1)) as pool:
+        scores = list(pool.map(draw, range(-1, n_permutations)))
+    return scores[0], scores[1:]
 
 
 def holdout_estimate(frame: DataFrame, columns, model: str = "logreg",
