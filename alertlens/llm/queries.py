@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from alertlens.llm import bloom_cascade, hilbert, mixing
+from alertlens.llm import bloom_cascade, decision_list, hilbert, mixing
 from alertlens.llm.common import table
 
 
@@ -21,7 +21,11 @@ def op9_hilbert_shards(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op8_bloom_cascade, op9_hilbert_shards)}
+def op10_decision_list(spark, sf_dir):
+    return decision_list.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op8_bloom_cascade, op9_hilbert_shards, op10_decision_list)}
 
 LLM_ORACLE = {
     "op1_mix_sources": mixing.ORACLE,
