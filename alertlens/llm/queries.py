@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from alertlens.llm import bloom_cascade, bpe, decision_list, hilbert, mixing
+from alertlens.llm import adapt_join, bloom_cascade, bpe, decision_list, hilbert, mixing
 from alertlens.llm.common import table
 
 
@@ -11,6 +11,10 @@ def op1_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_adaptive_jaccard(spark, sf_dir):
+    return adapt_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def word_vocabulary() -> str:
     """Place of the tokenizer file; it is read in place and never copied."""
     import public_tokenizers
@@ -35,7 +39,7 @@ def op10_decision_list(spark, sf_dir):
     return decision_list.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op7_bpe, op8_bloom_cascade, op9_hilbert_shards, op10_decision_list)}
+LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op6_adaptive_jaccard, op7_bpe, op8_bloom_cascade, op9_hilbert_shards, op10_decision_list)}
 
 LLM_ORACLE = {
     "op1_mix_sources": mixing.ORACLE,
