@@ -4,6 +4,8 @@ A *word* is a maximal run of characters other than the space and U+0009-U+000D.
 """
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +36,15 @@ def id_hash(doc_id: Column) -> Column:
 def hex_bucket(hex_key: Column, digits: int) -> Column:
     """The first hex digits of a key as an integer bucket in key order."""
     return F.conv(F.substring(hex_key, 1, digits), 16, 10).cast("int")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write df once as a table in the session's shared checkpoint folder and read it back.
+
+    Cuts the lineage like checkpoint(), computes the rows only once and keeps
+    them compressed.
+    """
+    spark = df.sparkSession
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
