@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from alertlens.llm import adapt_join, bloom_cascade, bpe, decision_list, hilbert, mixing, pitman_yor, suffix_dedup
+from alertlens.llm import adapt_join, bloom_cascade, bpe, decision_list, hilbert, mixing, mtree, pitman_yor, suffix_dedup
 from alertlens.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op4_suffix_arrays(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), texts=False).withColumnRenamed("kept", "kept_sha256")
 
 
+def op5_mtree(spark, sf_dir):
+    return mtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_adaptive_jaccard(spark, sf_dir):
     return adapt_join.similar_groups(table(spark, sf_dir, "documents"))
 
@@ -47,9 +51,10 @@ def op10_decision_list(spark, sf_dir):
     return decision_list.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_pitman_yor, op4_suffix_arrays, op6_adaptive_jaccard, op7_bpe, op8_bloom_cascade, op9_hilbert_shards, op10_decision_list)}
+LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_pitman_yor, op4_suffix_arrays, op5_mtree, op6_adaptive_jaccard, op7_bpe, op8_bloom_cascade, op9_hilbert_shards, op10_decision_list)}
 
 LLM_ORACLE = {
     "op1_mix_sources": mixing.ORACLE,
+    "op5_mtree": mtree.ORACLE,
     "op8_bloom_cascade": bloom_cascade.ORACLE,
 }
