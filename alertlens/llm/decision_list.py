@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alertlens.llm.common import GAP, hex_bucket, id_hash
+from alertlens.llm.common import GAP, hex_bucket, id_hash, materialize
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -173,7 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bad: int = 0
     """Learn the list of rejecting rules from the labelled documents that pass the base; no labels, no rules."""
     sample = labelled_sample(labels, label, bad, rows)
     known = docs.select(F.col("doc_id").alias("d_id"), "text").join(F.broadcast(sample), F.col("d_id") == F.col("l_id"))
-    known = text_statistics(known).filter(~base_failed()).select("l_bad", *FEATURES, (hex_bucket(id_hash(F.col("l_id")), 4) % 3 == 0).alias("held")).checkpoint()
+    known = materialize(text_statistics(known).select("l_bad", base_failed().alias("out"), *FEATURES, (hex_bucket(id_hash(F.col("l_id")), 4) % 3 == 0).alias("held")))
+    known = known.filter("NOT out")
     points = [(i + 1) / (CUTS + 1) for i in range(CUTS)]
     at = known.agg(*[F.percentile_approx(f, points, 10_000).alias(f) for f in FEATURES]).first()
     cuts = {f: sorted(set(at[f])) for f in FEATURES if at[f] is not None}
@@ -196,8 +197,11 @@ def judged(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     input: no rows.  Long texts are used whole.  Input columns pass through;
     names beginning with s_ are reserved.
     """
-    return (text_statistics(docs).withColumn("s_base_failed", base_failed())
-            .withColumn("s_kept", ~F.col("s_base_failed") & ~covered_by(rules)))
+    found = (text_statistics(docs).withColumn("s_base_failed", base_failed())
+             .withColumn("s_kept", ~F.col("s_base_failed") & ~covered_by(rules)))
+    names = [c for c in found.columns if c.startswith("s_")]
+    # one generated row: a filter on the verdict must not be pushed into, and repeat, the statistics
+    return found.select(*docs.columns, F.explode(F.array(F.struct(*names))).alias("s_all")).select(*docs.columns, "s_all.*")
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
