@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from alertlens.llm import adapt_join, bloom_cascade, bpe, decision_list, hilbert, mixing, mtree, pitman_yor, suffix_dedup
+from alertlens.llm import adapt_join, bloom_cascade, bpe, decision_list, hilbert, line_dedup, mixing, mtree, pitman_yor, suffix_dedup
 from alertlens.llm.common import table
 
 
@@ -11,6 +11,10 @@ def op1_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_line_edits(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op3_pitman_yor(spark, sf_dir):
     return pitman_yor.score(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_decision_list(spark, sf_dir):
     return decision_list.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_pitman_yor, op4_suffix_arrays, op5_mtree, op6_adaptive_jaccard, op7_bpe, op8_bloom_cascade, op9_hilbert_shards, op10_decision_list)}
+LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_line_edits, op3_pitman_yor, op4_suffix_arrays, op5_mtree, op6_adaptive_jaccard, op7_bpe, op8_bloom_cascade, op9_hilbert_shards, op10_decision_list)}
 
 LLM_ORACLE = {
     "op1_mix_sources": mixing.ORACLE,
