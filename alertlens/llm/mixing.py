@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertlens.llm.common import hex_bucket, id_hash, word_count
+from alertlens.llm.common import hex_bucket, id_hash, materialize, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -57,7 +57,7 @@ def mix(docs: DataFrame, size: Column | None = None, weights=WEIGHTS,
     """One row per input row: doc_id, source, size, source_size, target, times, taken.
 
     `size` defaults to the number of words of the text; `keep` names further
-    input columns to carry along.  times is the number of copies served and
+    narrow input columns to carry along.  times is the number of copies served and
     taken = times * size.
 
     Null text: size 0, times 0.  Null source: a source of its own, last in
@@ -71,8 +71,7 @@ def mix(docs: DataFrame, size: Column | None = None, weights=WEIGHTS,
         F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), named.alias("m_size"),
         id_hash(F.col("doc_id")).alias("m_key"), *[F.col(c).alias(f"k_{c}") for c in keep],
     ).withColumn("m_bucket", hex_bucket(F.col("m_key"), 3))
-    if not keep:  # narrow rows: count the words once
-        rows = rows.checkpoint()
+    rows = materialize(rows)  # narrow, so that words are counted once
     kept = [f"k_{c}" for c in keep]
 
     targets = source_targets(rows, weights, max_repeats)
@@ -130,6 +129,19 @@ def mix(docs: DataFrame, size: Column | None = None, weights=WEIGHTS,
         *[F.col(f"k_{c}").alias(c) for c in keep if c not in ("doc_id", "source")])
 
 
+def mixed(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The rows of documents as often as the mix serves them, none for 0.
+
+    Rows that repeat an id and text each come the rounded-up mean of their
+    numbers of times.
+    """
+    row = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("m_hash"))
+    served = (mix(row, weights=weights, max_repeats=max_repeats, keep=("m_hash",))
+              .groupBy(F.col("doc_id").alias("m_id"), "m_hash").agg(F.ceil(F.avg("times")).cast("int").alias("m_times")).filter("m_times > 0"))
+    joined = docs.join(served, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.xxhash64("text") == F.col("m_hash")))
+    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("m_times"))).alias("m_copy")).drop("m_copy")
+
+
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
