@@ -1,17 +1,24 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
-A document is its set of distinct word shingles, sorted by one order for all
-(rare buckets of a fixed-size count table first).  Two sets whose Jaccard
-similarity reaches t share at least l of their first n - ceil(t n) + l
-shingles, for every l.  Each document takes the l for which the candidates
-estimated from the posting lists of its prefix cost least; a pair is verified
-only if their prefixes share as many shingles as the smaller l of the two.
+A document is its set of distinct word shingles, sorted by one order for all:
+by the number of shards that hold a shingle, rare ones first.  Two sets whose
+Jaccard similarity reaches t share at least m of their first
+n - ceil(t n) + m shingles, for every m.  Each document takes the m for which
+the candidates estimated from the posting lists of its prefix cost least; a
+pair is verified only if their prefixes share as many shingles as the smaller
+m of the two.
+
+The order needs no join of all shingles: shards send 32 bits of the hash of
+each distinct shingle to buckets and get a rarity class back, in the order
+sent.  Shingles of one shard alone make no candidates and are not sent on.
 
 Documents meet in groups: each prefix shingle's posting list goes to the group
 of its most central document (that with the highest estimated cost), so the
 many lists of one family of near copies become one group and no pairs are
 emitted.  Groups are cut into blocks of bounded size; every pair of blocks is
-one unit of work that returns a spanning forest of the links it finds.
+one unit of work.  Units first compare prefixes alone; only documents left
+with a candidate send their whole sets, and the unit returns a spanning forest
+of the links it finds.
 """
 from __future__ import annotations
 
@@ -19,18 +26,23 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alertlens.llm.bloom_cascade import BITS_PER_KEY, MAX_FILTER_BYTES, BloomFilter
+from alertlens.llm.common import materialize
 from alertlens.llm.components import components
 from alertlens.llm.wordhash import text_shingles
 
 WIDTH, THRESHOLD = 3, (90, 100)
-MAX_MATCHES = 3
+#: numbers of shared prefix shingles to choose from
+MATCHES = (1, 2, 4, 8, 16)
 #: cost of verifying a candidate in units of reading one entry of a posting list
 VERIFY = 8
-BUCKET_BITS = 18
+MAX_PREFIX = 1 << 30
+SHARD_BYTES = 8 << 20
 #: documents in a block of a group
 BLOCK = 1024
 
@@ -39,28 +51,39 @@ def _batches(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarra
     return text_shingles(batch.column(batch.schema.get_field_index("text")), width)
 
 
-def bucket_classes(docs: DataFrame, width: int) -> np.ndarray:
-    """The binary logarithm of the count of each bucket of shingles, over all documents."""
-    def count(batches):
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
-        for batch in batches:
-            found = [s for _, s in _batches(batch, width)]
-            if found:
-                buckets = (np.concatenate(found) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-                total += np.bincount(buckets, minlength=len(total))
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
+class _Shard:
+    """The sets of a shard's documents and its distinct shingles, in hash order."""
+
+    def __init__(self, docs: pd.DataFrame, width: int):
+        self.sets = [s for _, s in text_shingles(pa.Array.from_pandas(docs["text"], type=pa.string()), width)]
+        self.keys = [set_key(s) if len(s) else None for s in self.sets]
+        once = {k: s for k, s in zip(self.keys, self.sets) if k is not None}
+        every = np.concatenate([np.zeros(0, np.uint64), *once.values()])
+        self.distinct, self.count = np.unique(every, return_counts=True)
+
+    def parts(self, buckets: int) -> Iterator[tuple[int, slice]]:
+        cuts = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
+        ends = [0, *np.searchsorted(self.distinct, cuts).tolist(), len(self.distinct)]
+        return ((b, slice(lo, hi)) for b, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])) if hi > lo)
 
-    sums = docs.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    classes = np.zeros(1 << BUCKET_BITS, np.uint64)
-    for part in sums.select("bucket", F.floor(F.log2("n")).cast("long").alias("c")).toArrow().to_batches():
-        classes[part.column(0).to_numpy()] = part.column(1).to_numpy()
-    return classes
 
+def _send(width: int, buckets: int):
+    """Per shard and bucket: 31 bits of each distinct shingle, and whether two sets of the shard hold it."""
+    def run(docs: pd.DataFrame) -> pd.DataFrame:
+        s = _Shard(docs, width)
+        items = (s.distinct & np.uint64(0xFFFFFFFE) | (s.count > 1).astype(np.uint64)).astype("<u4")
+        return pd.DataFrame([(int(docs["shard"].iloc[0]), b, items[part].tobytes()) for b, part in s.parts(buckets)], columns=["shard", "bucket", "items"])
+    return run
 
-def in_order(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Shingles in the global order: rare bucket classes first, then by hash."""
-    return s[np.lexsort((s, classes[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]))]
+
+def _rarity(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Classes for what each shard sent: 0 for shingles of one set, else by the number of shards."""
+    lists = [np.frombuffer(x, "<u4") for x in pdf["items"]]
+    every = np.concatenate(lists)
+    distinct, number, count = np.unique(every >> 1, return_inverse=True, return_counts=True)
+    several = np.bincount(number, every & 1, minlength=len(distinct)) > 0
+    classes = np.where((count > 1) | several, 1 + np.floor(np.log2(count)), 0).astype(np.uint8)[number]
+    return pd.DataFrame({"shard": pdf["shard"], "bucket": pdf["bucket"], "items": [x.tobytes() for x in np.split(classes, np.cumsum([len(x) for x in lists])[:-1])]})
 
 
 def prefix_length(n, matches, t):
@@ -72,46 +95,80 @@ def set_key(s: np.ndarray) -> bytes:
     return blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def describe(docs: DataFrame, classes, width: int, t) -> DataFrame:
-    """(doc_id, n, key, prefix) of every document; key and prefix are null for empty sets."""
-    def run(batches):
-        for batch in batches:
-            n, key, prefix = [], [], []
-            for _, s in _batches(batch, width):
-                n.append(len(s))
-                key.append(set_key(s) if len(s) else None)
-                longest = min(MAX_MATCHES, (t[0] * len(s) + t[1] - 1) // t[1])
-                prefix.append(in_order(s, classes.value)[: prefix_length(len(s), longest, t)].view(np.int64) if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "key", "prefix"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, key binary, prefix array<long>")
+def _describe(width: int, buckets: int, t):
+    def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        s = _Shard(docs, width)
+        classes = np.zeros(len(s.distinct), np.uint8)
+        told = dict(zip(answers["bucket"], answers["items"]))
+        for b, part in s.parts(buckets):
+            classes[part] = np.frombuffer(told[b], np.uint8)
+        alone, shared = [], []
+        for x in s.sets:
+            own = classes[np.searchsorted(s.distinct, x)]
+            longest = prefix_length(len(x), min(MATCHES[-1], (t[0] * len(x) + t[1] - 1) // t[1]), t)
+            n_alone = int((own == 0).sum())
+            alone.append(n_alone)
+            rest = np.flatnonzero(own)
+            rest = x[rest][np.lexsort((x[rest], own[rest]))]
+            # nothing shared in the shortest prefix: no partner
+            shared.append(rest[: longest - n_alone].view(np.int64) if len(x) and n_alone < prefix_length(len(x), 1, t) else None)
+        return pd.DataFrame({"doc_id": docs["doc_id"], "n": [len(x) for x in s.sets], "key": s.keys, "alone": alone, "prefix": shared})
+    return run
+
+
+def describe(docs: DataFrame, width: int, t, shard_bytes: int) -> DataFrame:
+    """(doc_id, n, key, alone, prefix) of every document.
+
+    key is null for empty sets; alone counts the shingles of one shard, which
+    come first in the order; prefix holds those after them, up to the longest
+    prefix, and is null if the document can have no partner.
+    """
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-n_bytes // shard_bytes))
+    buckets = max(1, -(-shards // 2))
+    shard = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(shards)).cast("long")
+    rows = docs.select("doc_id", "text", shard.alias("shard")).groupBy("shard")
+    kind = "shard long, bucket long, items binary"
+    classes = rows.applyInPandas(_send(width, buckets), kind).groupBy("bucket").applyInPandas(_rarity, kind)
+    return rows.cogroup(classes.groupBy("shard")).applyInPandas(
+        _describe(width, buckets, t), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, key binary, alone long, prefix array<long>")
 
 
 def groups(sets: DataFrame, t) -> DataFrame:
-    """(center, key, matches): the groups in which each distinct set meets its candidates.
+    """(center, key, matches, n, tokens): the groups in which each distinct set meets its candidates.
 
-    Of `sets` (key, n, prefix), only shingles that stand in two prefixes count.
+    Of `sets` (key, n, alone, prefix); tokens are the shared ones of its own prefix.  Similar sets share m shingles of their
+    m-match prefixes, so also the rarest of those by posting list, which is
+    not among the m - 1 most frequent of either prefix: these are dropped, and
+    a document with nothing left has no partner.  A document probes with the m
+    that costs least and stands in the index of every m.
     """
-    base = F.col("n") - F.expr(f"({t[0]} * n + {t[1] - 1}) DIV {t[1]}")
-    posts = sets.select("key", "n", F.posexplode("prefix").alias("pos", "token")).select(
-        "key", "n", "token", F.greatest(F.lit(1), F.col("pos") - base + 1).cast("int").alias("from_match"))
-    lists = posts.groupBy("token").agg(*[F.sum((F.col("from_match") <= m).cast("long")).alias(f"f{m}") for m in range(1, MAX_MATCHES + 1)])
-    lists = lists.filter(F.col(f"f{MAX_MATCHES}") > 1).withColumnRenamed("token", "l_token")
-    shared = posts.join(lists, F.col("token") == F.col("l_token")).drop("l_token").checkpoint()
-    read = [F.sum(F.when(F.col("from_match") <= m, F.col(f"f{m}") - 1).otherwise(0)).alias(f"r{m}") for m in range(1, MAX_MATCHES + 1)]
-    cost = [F.struct((F.col(f"r{m}") + VERIFY * F.col(f"r{m}") / m).alias("cost"), F.lit(m).alias("matches")) for m in range(1, MAX_MATCHES + 1)]
-    most = F.expr(f"({t[0]} * n + {t[1] - 1}) DIV {t[1]}")
-    options = F.filter(F.array(*cost), lambda o: o["matches"] <= most)
-    chosen = (shared.groupBy(F.col("key").alias("c_key"), "n").agg(*read)
-              .withColumn("best", F.array_min(options))
-              .select("c_key", F.col("best.cost").alias("cost"), F.col("best.matches").alias("matches")))
-    rows = shared.join(chosen, F.col("key") == F.col("c_key")).filter(F.col("from_match") <= F.col("matches")).select("token", "key", "cost", "matches")
-    centers = rows.groupBy(F.col("token").alias("t_token")).agg(F.max(F.struct("cost", "key")).alias("top"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    return (rows.join(centers, F.col("token") == F.col("t_token"))
-            .select(F.col("top.key").alias("center"), "key", "matches").distinct())
+    cap = F.expr(f"({t[0]} * n + {t[1] - 1}) DIV {t[1]}")
+    posts = sets.select("key", "n", "alone", F.posexplode("prefix").alias("pos", "token"))
+    twice = materialize(posts.groupBy(F.col("token").alias("key")).agg(F.count(F.lit(1)).alias("f")).filter("f > 1"))
+    n = twice.count()
+    if n * BITS_PER_KEY // 8 <= MAX_FILTER_BYTES:
+        # most shingles stand in one prefix only and need not be shuffled with their document
+        posts = posts.filter(BloomFilter(twice.select("key"), n, 0).passes(F.col("token")))
+    posts = posts.select("key", "n", "token", F.greatest(F.lit(1), F.col("alone") + F.col("pos") - (F.col("n") - cap) + 1).cast("int").alias("from_match"))
+    lists = twice.select(F.col("key").alias("l_token"), "f")
+    by_list = (posts.join(lists, F.col("token") == F.col("l_token"))
+               .groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("f", "token", "from_match")), asc=False).alias("own")))
+    kept = lambda m: F.slice(F.filter("own", lambda o: o["from_match"] <= m), m, MAX_PREFIX)
+    cost = lambda a, m: F.aggregate(a, F.lit(0.0), lambda x, o: x + (o["f"] - 1) * (1.0 + VERIFY / m))
+    options = F.array(*[F.struct(cost(kept(m), m).alias("cost"), F.lit(m).alias("matches"), F.transform(kept(m), lambda o: o["token"]).alias("tokens")) for m in MATCHES])
+    levels = materialize(by_list.select("key", "n", "own", F.filter(options, lambda o: o["matches"] <= cap).alias("options"))
+                         .filter(F.forall("options", lambda o: F.size(o["tokens"]) > 0))
+                         .withColumn("best", F.array_min(F.transform("options", lambda o: F.struct(o["cost"], o["matches"])))))
+    rows = (levels.select("key", "best.cost", "best.matches", F.explode("options").alias("o"))
+            .select("key", "cost", "matches", F.col("o.matches").alias("level"), F.explode("o.tokens").alias("token")))
+    centers = (rows.groupBy(F.col("token").alias("t_token"), F.col("level").alias("t_level"))
+               .agg(F.max(F.struct("cost", "key")).alias("top"), F.count(F.lit(1)).alias("members"), F.bool_or(F.col("level") == F.col("matches")).alias("probed"))
+               .filter("members > 1 AND probed"))
+    met = (rows.join(centers, (F.col("token") == F.col("t_token")) & (F.col("level") == F.col("t_level")))
+           .select(F.col("top.key").alias("center"), F.col("key").alias("m_key")).distinct())
+    own = levels.select("key", "n", "best.matches", F.transform(F.filter("own", lambda o: o["from_match"] <= F.col("best.matches")), lambda o: o["token"]).alias("tokens"))
+    return met.join(own, F.col("m_key") == F.col("key")).select("center", "key", "matches", "n", "tokens")
 
 
 class _Forest:
@@ -144,26 +201,32 @@ def _overlaps(x: int, index, n: int) -> np.ndarray:
     return np.bincount(owners[at], minlength=n)
 
 
-def spanning_links(keys: list[bytes], sets: list[np.ndarray], prefixes: list[np.ndarray], matches: np.ndarray,
-                   side: np.ndarray | None, t) -> list[tuple[bytes, bytes]]:
-    """Links that connect what all similar pairs of a unit connect; side: only pairs across it."""
-    n = len(keys)
-    size = np.array([len(s) for s in sets])
-    by_prefix, by_set = _lists(prefixes), None
-    forest, links = _Forest(n), []
-    label = np.arange(n)
-    for x in range(n - 1):
-        ok = _overlaps(x, by_prefix, n) >= np.minimum(matches, matches[x])
+def candidates(size: np.ndarray, prefixes: list[np.ndarray], matches: np.ndarray, side: np.ndarray | None, t) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, later rows that share enough of their prefix with x and are of a fitting size); side: only pairs across it."""
+    by_prefix = _lists(prefixes)
+    for x in range(len(size) - 1):
+        ok = _overlaps(x, by_prefix, len(size)) >= np.minimum(matches, matches[x])
         ok[: x + 1] = False
         if side is not None:
             ok &= side != side[x]
-        ok &= (t[1] * np.minimum(size, size[x]) >= t[0] * np.maximum(size, size[x])) & (label != label[x])
+        ok &= t[1] * np.minimum(size, size[x]) >= t[0] * np.maximum(size, size[x])
         found = np.flatnonzero(ok)
+        if len(found):
+            yield x, found
+
+
+def spanning_links(keys: list[bytes], sets: list[np.ndarray], prefixes: list[np.ndarray], matches: np.ndarray,
+                   side: np.ndarray | None, t) -> list[tuple[bytes, bytes]]:
+    """Links that connect what all similar pairs of a unit connect."""
+    size, by_set = np.array([len(s) for s in sets]), None
+    forest, links, label = _Forest(len(keys)), [], np.arange(len(keys))
+    for x, found in candidates(size, prefixes, matches, side, t):
+        found = found[label[found] != label[x]]
         if not len(found):
             continue
         if len(found) > 16:
             by_set = by_set or _lists(sets)
-            common = _overlaps(x, by_set, n)[found]
+            common = _overlaps(x, by_set, len(keys))[found]
         else:
             common = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for y in found])
         for y in found[t[1] * common >= t[0] * (size[x] + size[found] - common)].tolist():
@@ -175,57 +238,81 @@ def spanning_links(keys: list[bytes], sets: list[np.ndarray], prefixes: list[np.
     return links
 
 
-def links_of(docs: DataFrame, described: DataFrame, grouped: DataFrame, classes, width: int, t) -> DataFrame:
-    """(u, v): links between keys, verified on the whole sets."""
+def by_unit(rows: DataFrame, work, result: str, names: list[str]) -> DataFrame:
+    """Run work(list of rows) for the rows of each unit (first column); rows of a key count once."""
+    def run(batches):
+        unit, rows = None, {}
+
+        def batch_of(out):
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.binary()) for k in range(len(names))], names=names)
+
+        for batch in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[0] != unit:
+                    out += work(unit, list(rows.values())) if len(rows) > 1 else []
+                    unit, rows = row[0], {}
+                rows[row[1]] = row[1:]
+            yield batch_of(out)
+        yield batch_of(work(unit, list(rows.values())) if len(rows) > 1 else [])
+
+    return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, result)
+
+
+def _arrays(rows: list[tuple]) -> tuple:
+    """(keys, matches, side) of unit rows (key, matches, block, across, ...)."""
+    side = np.array([r[2] for r in rows]) if any(r[3] for r in rows) else None
+    return [r[0] for r in rows], np.array([r[1] for r in rows]), side
+
+
+def units_of(grouped: DataFrame) -> DataFrame:
+    """(unit, key, matches, block, across, n, tokens): each pair of blocks of a group is one unit."""
     sizes = grouped.groupBy(F.col("center").alias("g_center")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    placed = (grouped.join(sizes, F.col("center") == F.col("g_center"))
-              .withColumn("block", block)
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select(F.concat("center", F.encode(F.concat(F.lit("/"), F.least("block", "other"), F.lit("/"), F.greatest("block", "other")), "UTF-8")).alias("unit"),
-                      F.col("key").alias("m_key"), "matches", "block", (F.col("block") != F.col("other")).alias("across")))
-    members = placed.select("m_key").distinct()
+    ends = F.concat(F.lit("/"), F.least("block", "other"), F.lit("/"), F.greatest("block", "other"))
+    return (grouped.join(sizes, F.col("center") == F.col("g_center"))
+            .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(F.concat("center", F.encode(ends, "UTF-8")).alias("unit"), "key", "matches", "block",
+                    (F.col("block") != F.col("other")).alias("across"), "n", "tokens"))
+
+
+def links_of(docs: DataFrame, described: DataFrame, grouped: DataFrame, width: int, t) -> DataFrame:
+    """(u, v): links between keys, verified on the whole sets."""
+    def survivors(unit, rows):
+        keys, matches, side = _arrays(rows)
+        hit = np.zeros(len(rows), bool)
+        for x, found in candidates(np.array([r[4] for r in rows]), [np.array(r[5], np.int64) for r in rows], matches, side, t):
+            hit[x] = hit[found] = True
+        return [(unit, keys[i]) for i in np.flatnonzero(hit)]
+
+    def verified(unit, rows):
+        rows.sort(key=lambda r: r[0])
+        keys, matches, side = _arrays(rows)
+        return spanning_links(keys, [np.frombuffer(r[6], np.uint64) for r in rows], [np.array(r[5], np.int64) for r in rows], matches, side, t)
+
+    placed = units_of(grouped)
+    left = materialize(by_unit(placed, survivors, "s_unit binary, s_key binary", ["s_unit", "s_key"]))
+    placed = placed.join(left, (F.col("unit") == F.col("s_unit")) & (F.col("key") == F.col("s_key"))).withColumnRenamed("key", "m_key")
+
+    members = left.select(F.col("s_key").alias("m_key")).distinct()
     holders = (described.filter(F.col("key").isNotNull()).join(members, F.col("key") == F.col("m_key"), "left_semi")
                .groupBy("key").agg(F.min("doc_id").alias("h_id")))
     texts = docs.select(F.col("doc_id").alias("d_id"), "text").join(holders, F.col("d_id").eqNullSafe(F.col("h_id")))
 
     def load(batches):
         for batch in batches:
-            keys, sets = batch.column(0).to_pylist(), []
+            keys, found = batch.column(0).to_pylist(), []
             for i, s in _batches(batch, width):
                 # a repeated id may stand for another text
-                sets.append(in_order(s, classes.value).tobytes() if len(s) and set_key(s) == keys[i] else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["s_key", "tokens"])
+                found.append(s.tobytes() if len(s) and set_key(s) == keys[i] else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["w_key", "whole"])
 
-    loaded = texts.select("key", "text").mapInArrow(load, "s_key binary, tokens binary").filter("tokens IS NOT NULL")
-    units = placed.join(loaded, F.col("m_key") == F.col("s_key")).select("unit", "m_key", "matches", "block", "across", "tokens")
+    loaded = texts.select("key", "text").mapInArrow(load, "w_key binary, whole binary").filter("whole IS NOT NULL")
+    second = placed.join(loaded, F.col("m_key") == F.col("w_key")).select("unit", "m_key", "matches", "block", "across", "n", "tokens", "whole")
+    return by_unit(second, verified, "u binary, v binary", ["u", "v"])
 
-    def verify(batches):
-        unit, rows = None, {}
-
-        def finish():
-            keys = sorted(rows, key=lambda k: rows[k][0])
-            sets = [np.frombuffer(rows[k][3], np.uint64) for k in keys]
-            matches = np.array([rows[k][0] for k in keys])
-            prefixes = [s[: prefix_length(len(s), m, t)] for s, m in zip(sets, matches.tolist())]
-            side = np.array([rows[k][1] for k in keys]) if any(rows[k][2] for k in keys) else None
-            return spanning_links(keys, [np.sort(s) for s in sets], prefixes, matches, side, t) if len(keys) > 1 else []
-
-        for batch in batches:
-            out = []
-            for u, key, matches, block, across, tokens in zip(*(c.to_pylist() for c in batch.columns)):
-                if u != unit:
-                    out += finish()
-                    unit, rows = u, {}
-                rows[key] = (matches, block, across, tokens)
-            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.binary()) for k in (0, 1)], names=["u", "v"])
-        out = finish()
-        yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.binary()) for k in (0, 1)], names=["u", "v"])
 
-    return units.repartition("unit").sortWithinPartitions("unit").mapInArrow(verify, "u binary, v binary")
-
-
-def similar_groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+def similar_groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of documents.
 
     Two rows link when the Jaccard similarity of their sets reaches the
@@ -240,11 +327,10 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, in
     Texts are used whole.  Other input columns are not read.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    shared = rows.sparkSession.sparkContext.broadcast(bucket_classes(rows, width))
-    described = describe(rows, shared, width, threshold).checkpoint()
-    sets = described.filter(F.col("key").isNotNull()).groupBy("key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    grouped = groups(sets, threshold).checkpoint()
-    edges = links_of(rows, described, grouped, shared, width, threshold)
+    described = materialize(describe(rows, width, threshold, shard_bytes))
+    sets = described.filter("prefix IS NOT NULL").groupBy("key").agg(*[F.first(c).alias(c) for c in ("n", "alone", "prefix")])
+    grouped = materialize(groups(sets, threshold))
+    edges = links_of(rows, described, grouped, width, threshold)
     roots = components(edges)
     by_key = described.filter(F.col("key").isNotNull()).groupBy(F.col("key").alias("k_key")).agg(F.min("doc_id").alias("least"))
     ids = by_key.join(roots, F.col("k_key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "k_key"))
@@ -255,6 +341,10 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, in
 
 
 def one_of_each_group(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
-    """The rows of documents without all but the first (smallest doc_id) of each group."""
-    found = similar_groups(docs, width, threshold).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("g_id")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("g_id"), "left_anti").dropDuplicates(["doc_id"]) if docs.columns else docs
+    """The rows of documents without all but the first (smallest doc_id) of each group.
+
+    Rows that repeat an id stay or go together; rows without an id stay.
+    """
+    found = (similar_groups(docs, width, threshold).filter(F.col("doc_id") != F.col("component_id"))
+             .select(F.col("doc_id").alias("g_copy")).distinct())
+    return docs.join(found, F.col("doc_id") == F.col("g_copy"), "left_anti")
