@@ -148,7 +148,7 @@ def _grow(rows: DataFrame, cuts: dict[str, list[float]]) -> list[Condition]:
             break
         base = math.log2(bad / (bad + good))
         gain = lambda c: counts[c][0] * (math.log2(counts[c][0] / sum(counts[c])) - base) if counts[c][0] >= MIN_COVER else 0.0  # noqa: E731, B023
-        best = max(counts, key=lambda c: (gain(c), c.feature, c.above, -c.cut))
+        best = max(counts, key=lambda c: (gain(c), -FEATURES.index(c.feature), c.above, -c.cut))  # ties: the feature listed first
         if gain(best) <= 1e-9:
             break
         taken.append(best)
