@@ -89,7 +89,8 @@ def mix(docs: DataFrame, size: Column | None = None, weights=WEIGHTS,
     )
 
     def finish(epoch) -> Column:
-        return (epoch * F.col("m_total") + F.col("m_end")).cast("double") / F.col("m_target")
+        # a source without words has no target and nothing to serve
+        return F.try_divide((epoch * F.col("m_total") + F.col("m_end")).cast("double"), F.col("m_target"))
 
     def slot(epoch) -> Column:
         return F.least(F.floor(finish(epoch) * TIME_BUCKETS), F.lit(2 * TIME_BUCKETS)).cast("int")
