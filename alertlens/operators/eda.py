@@ -29,9 +29,13 @@ def outcome_name(label: Column) -> Column:
 
 
 def labelled_history(alerts: DataFrame, history: DataFrame) -> DataFrame:
-    """History of labelled alerts with the label attached (inner join, J3)."""
-    labels = dedup_alerts(alerts.select(ALERT_ID, LABEL))
-    return history.join(labels, ALERT_ID, "inner")
+    """History of labelled alerts with the label attached.
+
+    ``prepare(..., carry=[LABEL])`` has attached it already; a history without
+    it is joined to the de-duplicated alerts."""
+    if LABEL in history.columns:
+        return history
+    return history.join(dedup_alerts(alerts).select(ALERT_ID, LABEL), ALERT_ID, "inner")
 
 
 def target(alerts: DataFrame) -> DataFrame:

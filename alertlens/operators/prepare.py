@@ -1,6 +1,8 @@
 """Alert de-duplication and the prepared transaction history."""
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,16 +23,20 @@ def dedup_alerts(alerts: DataFrame) -> DataFrame:
     return picked.select(ALERT_ID, *[F.col(f"_first.{c}").alias(c) for c in rest])
 
 
-def prepare(tx: DataFrame, alerts: DataFrame) -> DataFrame:
+def prepare(tx: DataFrame, alerts: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Transactions joined to their (unique) alert, at or before the alert date.
 
+    ``carry`` names further alert columns (the label) to bring along, so that
+    no second join on the alert is needed.  Duplicate alerts are resolved on
+    whole rows: date and carried columns come from the same one.
+
     Adds ``days_before`` (fractional days), ``out`` (1 when outgoing), ``hour``,
     ``dow`` (Monday=0), ``tx_date``, ``night`` and ``weekend``.  Rows of unknown
     alerts and rows after the alert timestamp are dropped.  The join is left to
     AQE: broadcast when the alert side is small, shuffled (with skew splitting
     of hot alerts) otherwise.
     """
-    keyed = dedup_alerts(alerts.select(ALERT_ID, ALERT_DATE))
+    keyed = dedup_alerts(alerts).select(ALERT_ID, ALERT_DATE, *carry)
     joined = tx.join(keyed, ALERT_ID, "inner")
     days = days_between(F.col(TX_TS), F.col(ALERT_DATE))
     hour = F.hour(TX_TS)
@@ -46,13 +52,16 @@ def prepare(tx: DataFrame, alerts: DataFrame) -> DataFrame:
 
 
 def silent_alerts(alerts: DataFrame, history: DataFrame) -> DataFrame:
-    """Alerts with no transaction left after preparation (anti join)."""
-    return dedup_alerts(alerts).join(history.select(ALERT_ID), ALERT_ID, "left_anti")
+    """Alerts with no transaction left after preparation (anti join).
+
+    The history is reduced to its ids first: rows on the right of an anti join
+    cannot be split, so a hot alert must not reach it row by row."""
+    return dedup_alerts(alerts).join(history.select(ALERT_ID).distinct(), ALERT_ID, "left_anti")
 
 
 def prep_audit(tx: DataFrame, alerts: DataFrame) -> DataFrame:
     """Raw rows, kept rows, dropped rows and dropped share, in one pass."""
-    keyed = dedup_alerts(alerts.select(ALERT_ID, ALERT_DATE))
+    keyed = dedup_alerts(alerts).select(ALERT_ID, ALERT_DATE)
     days = days_between(F.col(TX_TS), F.col(ALERT_DATE))
     j = tx.join(keyed, ALERT_ID, "left")
     agg = j.agg(F.count(F.lit(1)).alias("raw_rows"),

@@ -17,6 +17,7 @@ from ..operators import blend, check, eda, folds, impute, rank
 from ..operators import features as feat
 from ..operators import prepare as prep
 from ..schema import ALERT_ID, FAMILIES, LABEL, SPLIT
+from ..session import split_hot_alerts
 from . import integrity
 from . import scoring as sc
 from ..sources import driver_tables as dt
@@ -47,6 +48,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        split_hot_alerts(spark)
         self.tx = dt.transactions(spark, sf_dir)
         self.alerts = dt.alerts(spark, sf_dir)
         self.train = dt.split(self.alerts, "train")
@@ -88,8 +90,10 @@ def silent_alerts(spark, sf_dir):
 @register("dedup_alerts")
 def dedup_alerts(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    doubled = i.alerts.unionByName(i.train)      # every train alert listed twice
-    return normalise(prep.dedup_alerts(doubled))
+    # every train alert listed twice, the second row with another date and label
+    other = i.train.withColumn("alert_date", F.timestamp_add("DAY", F.when(F.col("alert_id") % 2 == 0, 1).otherwise(-1),
+                                                             F.col("alert_date"))).withColumn(LABEL, 1 - F.col(LABEL))
+    return normalise(prep.dedup_alerts(i.alerts.unionByName(other)))
 
 
 # ----------------------------------------------------- steps 2-3: features
@@ -111,7 +115,7 @@ QUERIES["feat_all"] = _features(None)
 
 def _train_inputs(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    i.train_history = prep.prepare(i.tx, i.train)
+    i.train_history = prep.prepare(i.tx, i.train, carry=(LABEL,))
     return i
 
 
@@ -330,8 +334,10 @@ def _drift_report(i):
 
 
 def _bagged_scores(i):
-    from .models import bagged_predict
-    return bagged_predict("logreg", None, _train_raw(i), _test_raw(i), REFERENCE_FAMILY_SET)
+    from .models import SEEDS, bagged_predict, default_params
+    # a model that uses its seed; few rounds, as the query shows the bagging
+    return bagged_predict("gbt", {**default_params("gbt"), "maxIter": 10, "maxDepth": 2}, _train_raw(i), _test_raw(i),
+                          REFERENCE_FAMILY_SET, SEEDS[:3])
 
 
 def _tune_trials(i):
@@ -381,16 +387,19 @@ def _publish_guard(i):
 
 def _out_dir(i, name):
     from ..session import ensure_checkpoint_dir
-    return f"{ensure_checkpoint_dir(i.spark).rstrip('/')}/alertlens-{name}"
+    from uuid import uuid4
+    return f"{ensure_checkpoint_dir(i.spark).rstrip('/')}/alertlens-{name}-{uuid4().hex}"
 
 
 def _run_log(i):
-    from ..sources.sinks import log_run
+    from ..sources.sinks import LOG_SCHEMA, log_run
     from .cv import evaluate
     from .models import make_factory
     res = evaluate(make_factory("logreg"), _train_raw(i), REFERENCE_FAMILY_SET)
-    return log_run(i.spark, _out_dir(i, "log"), mean=res.mean, std=res.std, families=["direction_type", "base"],
-                   n_columns=len(REFERENCE_FAMILY_SET), model="logreg", params={"C": 0.1})
+    out = _out_dir(i, "log")
+    log_run(i.spark, out, mean=res.mean, std=res.std, families=["direction_type", "base"],
+            n_columns=len(REFERENCE_FAMILY_SET), model="logreg", params={"C": 0.1})
+    return i.spark.read.schema(LOG_SCHEMA).option("header", True).csv(out)
 
 
 def _score_and_write(i):
@@ -398,7 +407,8 @@ def _score_and_write(i):
     out = _out_dir(i, "result")
     drift = predict_and_write(i.spark, _train_raw(i), _test_raw(i), i.test.select(ALERT_ID),
                               REFERENCE_FAMILY_SET, {"logreg": 1.0}, {"logreg": None}, out)
-    written = i.spark.read.option("header", True).csv(f"{out}/result")
+    kind = dict(i.test.dtypes)[ALERT_ID]
+    written = i.spark.read.schema(f"{ALERT_ID} {kind}, score double").option("header", True).csv(f"{out}/result")
     return written.withColumn("adversarial_auc", F.lit(drift["adversarial_auc"]))
 
 

@@ -36,11 +36,9 @@ from ..operators.impute import apply_medians, long_format
 from ..operators.ordered import exact_quantiles
 from ..operators.rank import grouped_auc
 from ..schema import ALERT_ID, LABEL
-from .models import Factory, assemble, fit, predict
+from .models import MAX_ITER, TOL, Factory, assemble, fit, predict
 
 PARALLEL_FITS = 8
-MAX_ITER = 1000
-TOL = 1e-9
 
 
 @dataclass(frozen=True)

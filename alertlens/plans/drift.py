@@ -11,9 +11,11 @@ from ..operators.folds import N_SPLITS, SEED, stratified_folds
 from ..operators.impute import apply_medians, fit_medians
 from ..operators.rank import grouped_auc
 from ..schema import ALERT_ID
-from .models import assemble, feature_importances, fit, make_factory, predict
+from .models import assemble, default_params, feature_importances, fit, make_factory, predict
 
 DRIFT_WARNING_AUC = 0.75
+#: the separability test needs a coarse classifier only
+DRIFT_ROUNDS = {"gbt": {"maxIter": 60, "stepSize": 0.1}, "gbt_shallow": {"maxIter": 60, "stepSize": 0.1}, "rf": {"numTrees": 100}}
 
 
 def union_splits(train: DataFrame, test: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -35,12 +37,12 @@ def drift_report(train: DataFrame, test: DataFrame, columns: Sequence[str],
     imputed = apply_medians(both, medians)
     folds = stratified_folds(imputed, n_repeats=1, label="is_test")
     keyed = imputed.join(folds, ALERT_ID).checkpoint()
-    factory = make_factory(model)
+    factory = make_factory(model, {**default_params(model), **DRIFT_ROUNDS.get(model, {})})
 
     def run(k):
         tr = assemble(keyed.where(F.col("fold") != k), common, keep=(ALERT_ID, "is_test"))
         va = assemble(keyed.where(F.col("fold") == k), common, keep=(ALERT_ID, "is_test"))
-        est = fit(factory, tr.withColumnRenamed("is_test", "label"), SEED)
+        est = fit(factory, tr.withColumnRenamed("is_test", "label"), SEED, tr.count())
         return predict(est, va, keep=(ALERT_ID, "is_test")), feature_importances(est, common)
 
     with ThreadPoolExecutor(max_workers=N_SPLITS) as pool:

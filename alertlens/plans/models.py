@@ -9,6 +9,7 @@ the assembled frame, nothing is collected.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -20,14 +21,20 @@ from pyspark.sql import functions as F
 from ..schema import ALERT_ID, LABEL
 
 SEED = 42
+#: solver limits of the logistic regression, the same in cross-validation and in the final fit
+MAX_ITER, TOL = 1000, 1e-9
+#: boosting rounds and trees of the registered models
+ROUNDS = 700
+#: seeds of the models that a bag averages
+SEEDS = tuple(range(SEED, SEED + 5))
 
 # --- fixed values: default parameters per model -----------------------------
 DEFAULTS: dict[str, dict] = {
-    "gbt": {"maxIter": 60, "stepSize": 0.1, "maxDepth": 4, "minInstancesPerNode": 20,
+    "gbt": {"maxIter": ROUNDS, "stepSize": 0.02, "maxDepth": 4, "minInstancesPerNode": 20,
             "subsamplingRate": 0.8, "featureSubsetStrategy": "0.7"},
-    "gbt_shallow": {"maxIter": 60, "stepSize": 0.1, "maxDepth": 2, "minInstancesPerNode": 20,
+    "gbt_shallow": {"maxIter": ROUNDS, "stepSize": 0.02, "maxDepth": 2, "minInstancesPerNode": 20,
                     "subsamplingRate": 0.8, "featureSubsetStrategy": "0.7"},
-    "rf": {"numTrees": 100, "maxDepth": 6, "minInstancesPerNode": 10,
+    "rf": {"numTrees": ROUNDS, "maxDepth": 6, "minInstancesPerNode": 10,
            "subsamplingRate": 0.8, "featureSubsetStrategy": "sqrt"},
     "logreg": {"C": 0.1},
 }
@@ -48,17 +55,20 @@ class Factory:
         self.name = name
         self.params = default_params(name) if params is None else dict(params)
 
-    def __call__(self, seed: int, n_rows: int | None = None):
+    def __call__(self, seed: int, n_rows: int):
+        """``n_rows`` of the training frame set the penalty of the logistic regression."""
         p = dict(self.params)
         if self.name in ("gbt", "gbt_shallow"):
             return GBTClassifier(featuresCol="features", labelCol=LABEL, seed=seed, **p)
         if self.name == "rf":
             return RandomForestClassifier(featuresCol="features", labelCol=LABEL, seed=seed, **p)
-        c = float(p.pop("C", 1.0))
-        reg = 1.0 / (c * max(n_rows or 1, 1))
+        c, n = float(p.pop("C", 1.0)), max(n_rows, 1)
+        # the scaler divides by the sample deviation; the factor turns the
+        # penalty into that of population-standardized columns, as in CV
+        reg = (n - 1) / n / (c * n) if n > 1 else 1.0 / c
         scaler = StandardScaler(inputCol="features", outputCol="_scaled", withMean=True, withStd=True)
         lr = LogisticRegression(featuresCol="_scaled", labelCol=LABEL, regParam=reg,
-                                elasticNetParam=0.0, standardization=False, maxIter=100, tol=1e-6)
+                                elasticNetParam=0.0, standardization=False, maxIter=MAX_ITER, tol=TOL)
         return Pipeline(stages=[scaler, lr])
 
 
@@ -74,7 +84,7 @@ def assemble(frame: DataFrame, columns: Sequence[str], keep: Sequence[str] = (AL
         .select(*cols, "features")
 
 
-def fit(factory: Factory, train: DataFrame, seed: int, n_rows: int | None = None):
+def fit(factory: Factory, train: DataFrame, seed: int, n_rows: int):
     est = factory(seed, n_rows)
     return est.fit(train.withColumn(LABEL, F.col(LABEL).cast("double")))
 
@@ -95,18 +105,14 @@ def feature_importances(model, columns: Sequence[str]) -> list[tuple[str, float]
 
 
 def bagged_predict(name: str, params: dict | None, train: DataFrame, test: DataFrame,
-                   columns: Sequence[str], seeds: Sequence[int] | None = None) -> DataFrame:
+                   columns: Sequence[str], seeds: Sequence[int] = SEEDS) -> DataFrame:
     """Fit one model per seed on all of ``train`` (imputed with train medians),
     average the test probabilities per id (B3): ``(alert_id, score)``."""
     from ..operators.impute import apply_medians, fit_medians
-    seeds = list(range(SEED, SEED + 5)) if seeds is None else list(seeds)
     medians = fit_medians(train, columns)
     tr = assemble(apply_medians(train, medians), columns).checkpoint()
     te = assemble(apply_medians(test, medians), columns, keep=(ALERT_ID,))
     n = tr.count()
     factory = make_factory(name, params)
-    scored = None
-    for seed in seeds:
-        p = predict(fit(factory, tr, seed, n), te).withColumn("seed", F.lit(seed))
-        scored = p if scored is None else scored.unionByName(p)
+    scored = reduce(DataFrame.unionByName, [predict(fit(factory, tr, s, n), te) for s in seeds])
     return scored.groupBy(ALERT_ID).agg(F.avg("score").alias("score"))

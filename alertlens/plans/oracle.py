@@ -74,11 +74,12 @@ WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.alert_id = a.alert_id)
 GROUP BY a.alert_id"""
 
 ORACLE["dedup_alerts"] = with_ctes("""
-doubled AS (SELECT * FROM alerts UNION ALL SELECT * FROM alerts WHERE split = 'train')""") + """
-SELECT alert_id, arg_min(alert_date, (alert_date, label, split)) AS alert_date,
-       CAST(arg_min(label, (alert_date, label, split)) AS BIGINT) AS label,
-       arg_min(split, (alert_date, label, split)) AS split
-FROM doubled GROUP BY alert_id"""
+doubled AS (
+  SELECT * FROM alerts UNION ALL
+  SELECT alert_id, alert_date + to_days(CASE WHEN alert_id % 2 = 0 THEN 1 ELSE -1 END), 1 - label, split
+  FROM alerts WHERE split = 'train')""") + """
+SELECT alert_id, alert_date, CAST(label AS BIGINT) AS label, split FROM doubled
+QUALIFY row_number() OVER (PARTITION BY alert_id ORDER BY alert_date, label, split) = 1"""
 
 
 # -------------------------------------------------------------- features
@@ -240,7 +241,7 @@ ORACLE["feat_all"] = features_sql(None)
 
 OUTCOME_SQL = "CASE label WHEN 0 THEN 'Dismissed' WHEN 1 THEN 'Escalated' END"
 TRAIN_CTES = ("""ta AS (SELECT * FROM alerts WHERE split = 'train')""",
-              """th AS (SELECT h.*, l.label FROM h JOIN (SELECT alert_id, min(label) AS label FROM ta GROUP BY alert_id) l
+              """th AS (SELECT h.*, l.label FROM h JOIN (SELECT alert_id, arg_min(label, (alert_date, label)) AS label FROM ta GROUP BY alert_id) l
                  ON h.alert_id = l.alert_id)""")
 
 ORACLE["eda_target"] = with_ctes(*TRAIN_CTES) + f"""
@@ -490,15 +491,15 @@ st AS (SELECT count(*) AS n_rows, count(DISTINCT alert_id) AS n_ids, count(*) FI
        (SELECT count(*) FROM ex) AS n_exp
        FROM ts)""") + """
 SELECT * FROM (
-  SELECT 1 AS rule_id, 'columns are exactly [alert_id, score]' AS rule, true AS passed, 'got [alert_id, score]' AS detail FROM st
-  UNION ALL SELECT 2, 'row count matches expected ids', n_rows = n_exp, printf('%d rows vs %d expected', n_rows, n_exp) FROM st
-  UNION ALL SELECT 3, 'no missing ids', missing = 0, printf('%d missing', missing) FROM st
-  UNION ALL SELECT 4, 'no extra ids', extra = 0, printf('%d extra', extra) FROM st
-  UNION ALL SELECT 5, 'no duplicate ids', n_rows - n_ids - least(null_ids, 1) = 0,
+  SELECT 1 AS rule_id, 'the columns are alert_id and score, in this order, and no others' AS rule, true AS passed, 'got [alert_id, score]' AS detail FROM st
+  UNION ALL SELECT 2, 'as many rows as requested ids', n_rows = n_exp, printf('%d rows vs %d expected', n_rows, n_exp) FROM st
+  UNION ALL SELECT 3, 'every requested id has a row', missing = 0, printf('%d missing', missing) FROM st
+  UNION ALL SELECT 4, 'no id that was not requested', extra = 0, printf('%d extra', extra) FROM st
+  UNION ALL SELECT 5, 'each id at most once', n_rows - n_ids - least(null_ids, 1) = 0,
             printf('%d duplicated', n_rows - n_ids - least(null_ids, 1)) FROM st
-  UNION ALL SELECT 6, 'no null scores', nulls = 0, printf('%d null', nulls) FROM st
-  UNION ALL SELECT 7, 'all scores within [0, 1]', oor = 0, printf('%d out of range', oor) FROM st
-  UNION ALL SELECT 8, 'predictions are not a constant placeholder', dist > 1, printf('%d distinct value(s)', dist) FROM st)"""
+  UNION ALL SELECT 6, 'every score is a number', nulls = 0, printf('%d null', nulls) FROM st
+  UNION ALL SELECT 7, 'scores lie between 0 and 1', oor = 0, printf('%d out of range', oor) FROM st
+  UNION ALL SELECT 8, 'at least two different scores', dist > 1, printf('%d distinct value(s)', dist) FROM st)"""
 
 ORACLE["result_ordered"] = with_ctes(*M, *_TEST_SCORES, """
 eo AS (SELECT alert_id, row_number() OVER (ORDER BY md5(CAST(alert_id AS VARCHAR))) AS ordinal FROM ex)""") + f"""

@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -36,6 +37,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def split_hot_alerts(spark: SparkSession) -> None:
+    """Let a skewed join be split even if the aggregation above it is then
+    shuffled once more: the alert joins are followed by aggregations on the
+    same key, and one alert may hold a third of all transactions."""
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+                "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(key, "true")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; create a local one only if unset."""
     sc = spark.sparkContext

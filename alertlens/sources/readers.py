@@ -64,15 +64,18 @@ def read_transactions(spark: SparkSession, path: str, columns: dict[str, str] |
 def read_expected_ids(spark: SparkSession, path: str, id_column: str = "id") -> DataFrame:
     """Ids of a sample file with their 1-based file position.
 
-    The position comes from the file order (line order within each split,
-    splits in path order) and is computed distributed: per-partition counts
-    -> prefix offsets (a table of one row per input partition)."""
+    Files count in path order and lines in file order.  Spark packs file
+    splits into partitions by size, so the position is taken from the split
+    itself (path, first byte) and the line order inside it: counts per split
+    -> prefix offsets (a table of one row per split)."""
     from pyspark.sql import Window
-    raw = spark.read.option("header", True).csv(path).select(F.col(id_column).cast("string").alias(ALERT_ID))
-    tagged = raw.select(ALERT_ID, F.spark_partition_id().alias("_p"),
-                        F.monotonically_increasing_id().alias("_mid")).checkpoint()
-    counts = tagged.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
-    offs = counts.select("_p", "_m0", F.coalesce(F.sum("_c").over(
-        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offs), "_p")
+    raw = spark.read.option("header", True).csv(path).select(
+        F.col(id_column).cast("string").alias(ALERT_ID), F.col("_metadata.file_path").alias("_f"),
+        F.col("_metadata.file_block_start").alias("_b"))
+    tagged = raw.withColumn("_mid", F.monotonically_increasing_id()).checkpoint()
+    split = ["_f", "_b"]
+    counts = tagged.groupBy(*split).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
+    offs = counts.select(*split, "_m0", F.coalesce(F.sum("_c").over(
+        Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return (tagged.join(offs, split)
             .select((F.col("_mid") - F.col("_m0") + F.col("_off") + 1).alias("ordinal"), ALERT_ID))
