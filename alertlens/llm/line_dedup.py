@@ -23,53 +23,59 @@ MIN_CHARS = 24
 LAST = 0x7FFFFFFFFFFFFFFF
 
 
+def _div(a: Column, b: int) -> Column:
+    return F.call_function("div", a, F.lit(b)).cast("int")
+
+
 def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     """(first place from 0, length) of segment i; the last ones take what is left over."""
-    short, over = F.floor(length / parts), length % parts
+    short, over = _div(length, parts), length % parts
     start = short * i + F.greatest(F.lit(0), over - (parts - i))
     return start.cast("int"), (short + F.when(over > parts - 1 - i, 1).otherwise(0)).cast("int")
 
 
-def _substring(line: Column, start: Column, length: Column) -> Column:
-    return F.substring(line, start + 1, length)
-
-
-def _rest(line: Column, i: int, first: Column, length: Column, at: Column, indexed: Column) -> Column:
-    """For one edit: hashes of the two halves of the part beside the matched segment, one of which is untouched.
+def _rest(size: Column, i: int, first: Column, length: Column, at: Column, indexed: Column) -> list[Column]:
+    """For one edit: (begin, length) of the halves of the part beside the matched segment, one of which is untouched.
 
     `indexed` is the length of the shorter line, which sets the halves; both
     are taken from the outer ends of the part.
     """
-    size = F.length(line)
     if i == 0:
-        begin, whole, own = at + length, size - at - length, indexed - length
+        begin, end, own = at + length, size, indexed - length
     else:
-        begin, whole, own = F.lit(0), at, first
-    left = F.floor(own / 2).cast("int")
-    right = (own - left).cast("int")
-    one = F.xxhash64(F.lit(7), _substring(line, begin, left))
-    two = F.xxhash64(F.lit(9), _substring(line, (begin + whole - right).cast("int"), right))
-    return F.shiftleft(one, 32).bitwiseOR(two.bitwiseAND(F.lit(0xFFFFFFFF)))
+        begin, end, own = F.lit(0), at, first
+    left = F.shiftright(own, 1)
+    return [begin, left, end - (own - left), own - left]
 
 
 def segment_entries(lines: DataFrame, threshold: int) -> DataFrame:
-    """(key, a, rest, indexed): index entries of each line, and those with which it only probes."""
-    line, size, parts = F.col("line"), F.col("size"), threshold + 1
-    found = []
+    """(key, a, rest, indexed): index entries of each line, and those with which it only probes.
+
+    The places are generated first, so that the hashing is one small expression.
+    """
+    size, parts = F.col("size"), threshold + 1
+    names = ("i", "length", "at", "own", "l_at", "l_size", "r_at", "r_size")
+    places = []
     for i in range(parts):
         for delta in range(threshold + 1):
             indexed = size - delta
             first, length = _segment(indexed, i, parts)
             low, high = max(-i, delta - (threshold - i)), min(i, delta + (threshold - i))
             for shift in range(low, high + 1):
-                at = (first + shift).cast("int")
-                rest = _rest(line, i, first, length, at, indexed) if threshold == 1 else F.lit(0).cast("long")
-                own = delta == 0 and shift == 0
-                entry = F.struct(F.xxhash64(F.lit(i), indexed, _substring(line, at, length)).alias("key"), rest.alias("rest"), F.lit(own).alias("indexed"))
+                at = first + shift
+                rest = _rest(size, i, first, length, at, indexed) if threshold == 1 else [F.lit(0)] * 4
+                own = F.lit(i if delta == 0 and shift == 0 else i - parts)  # negative: probes only
                 fits = (indexed >= MIN_CHARS) & (at >= 0) & (at + length <= size)
-                found.append(F.when(fits, entry))
-    return (lines.select("a", F.explode(F.array(*found)).alias("e")).filter("e IS NOT NULL")
-            .select("e.key", "a", "e.rest", "e.indexed").distinct())
+                values = (own, length, at, indexed, *rest)
+                places.append(F.when(fits, F.struct(*[v.cast("int").alias(n) for v, n in zip(values, names)])))
+    # four bytes a character: a piece is cut without walking through the line
+    wide = F.encode("line", "UTF-32").alias("wide")
+    piece = lambda at, length: F.substring("wide", F.col(at) * 4 + 1, F.col(length) * 4)
+    one, two = F.xxhash64(F.lit(7), piece("l_at", "l_size")), F.xxhash64(F.lit(9), piece("r_at", "r_size"))
+    rest = F.shiftleft(one, 32).bitwiseOR(two.bitwiseAND(F.lit(0xFFFFFFFF)))
+    return (lines.select("a", wide, F.explode(F.array(*places)).alias("e")).filter("e IS NOT NULL").select("a", "wide", "e.*")
+            .select(F.xxhash64(F.pmod("i", F.lit(parts)), "own", piece("at", "length")).alias("key"), "a", rest.alias("rest"), (F.col("i") >= 0).alias("indexed"))
+            .distinct())
 
 
 def candidate_pairs(entries: DataFrame, threshold: int) -> DataFrame:
@@ -160,7 +166,8 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def near_links(lines: DataFrame, threshold: int) -> DataFrame:
     """(a1, b1, a2, b2): different lines within the threshold, each pair once."""
-    pairs = materialize(candidate_pairs(segment_entries(lines, threshold), threshold))
+    entries = materialize(segment_entries(lines, threshold))
+    pairs = materialize(candidate_pairs(entries, threshold))
     wanted = pairs.select(F.col("a1").alias("key")).unionByName(pairs.select(F.col("a2").alias("key"))).distinct()
     n = wanted.count()
     texts = lines.select("a", "b", "line")
@@ -180,7 +187,7 @@ def dropped_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     document's lines form, dropped lists the line numbers from 0.
     """
     lines = lines_of(docs)
-    spots = lines.select("doc", "pos", "a", "b")
+    spots = materialize(lines.select("doc", "pos", "a", "b"))
     first = spots.groupBy("a", "b").agg(F.min(F.struct("doc.id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
     links = materialize(near_links(lines, threshold))
     ends = links.unionByName(links.select(F.col("a2").alias("a1"), F.col("b2").alias("b1"), F.col("a1").alias("a2"), F.col("b1").alias("b2")))
