@@ -76,19 +76,25 @@ def _summary_fn(keys, order, weights):
             wsum = np.stack([np.add.reduceat(pdf[w].to_numpy(dtype=np.float64), bounds)
                              for w in weights]) if weights else np.zeros((0, len(bounds)))
             orders = pdf[order].to_numpy()[ends]
-            for r in range(len(bounds)):
-                key = tuple(pdf[k].iat[bounds[r]] for k in keys)
-                continues = r == 0 and not starts[0]
-                if continues:
-                    last_tot = last_tot + wsum[:, r]
-                else:
-                    if last_key is not None and first_open and last_key == first_key:
-                        first_open = False
-                        first_tot, first_last_order = last_tot, last_order
-                    last_key, last_tot = key, wsum[:, r].copy()
-                    if first_key is None:
-                        first_key = key
-                last_order = orders[r]
+            key_of = lambda r: tuple(pdf[k].iat[bounds[r]] for k in keys)  # noqa: E731, B023
+
+            def close():
+                nonlocal first_open, first_tot, first_last_order
+                if first_open and last_key == first_key:
+                    first_open, first_tot, first_last_order = False, last_tot, last_order
+
+            # only the batch's first and last run can reach beyond it
+            if not starts[0]:
+                last_tot = last_tot + wsum[:, 0]
+            else:
+                if last_key is not None:
+                    close()
+                last_key, last_tot = key_of(0), wsum[:, 0].copy()
+                first_key = last_key if first_key is None else first_key
+            last_order = orders[0]
+            if len(bounds) > 1:
+                close()
+                last_key, last_tot, last_order = key_of(len(bounds) - 1), wsum[:, -1].copy(), orders[-1]
         if pid is None:
             return
         if first_open:
@@ -149,7 +155,7 @@ def _local_fn(keys, order, weights, with_prev):
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: str,
                  weights: Sequence[str] = (), with_prev: bool = False,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, with_totals: bool = False) -> DataFrame:
     """Exclusive prefix sums of ``weights`` and previous ``order`` value within
     ``keys`` along ``order``, distributed even for a single huge key.
 
@@ -157,6 +163,10 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: str,
     ``_prev`` (double; NULL on the first row of a key).  ``order`` must be
     numeric when ``with_prev`` is set.  Rows with NULL ``order`` should be
     removed by the caller.
+
+    ``with_totals`` also adds ``_total_<w>`` and ``_rows``, the sums and the row
+    count of the whole key, and drops rows with a NULL key.  They are joined on
+    (partition, key): a hot key stays spread over the partitions of the scan.
     """
     keys = list(keys)
     weights = list(weights)
@@ -200,6 +210,14 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: str,
     if with_prev:
         out_cols.append(F.coalesce(F.nanvl(F.col("_lprev"), F.lit(None).cast("double")),
                                    F.col("_carry_prev")).alias("_prev"))
+    if with_totals:
+        parts = ranged.groupBy(PID, *keys).agg(*[F.sum(w).alias(f"_part_{w}") for w in weights],
+                                               F.count(F.lit(1)).alias("_part_rows"))
+        whole = Window.partitionBy(*keys)              # a key has one row per partition here
+        totals = parts.select(PID, *keys, *[F.sum(f"_part_{w}").over(whole).alias(f"_total_{w}") for w in weights],
+                              F.sum("_part_rows").over(whole).alias("_rows"))
+        joined = joined.join(totals, on=[PID, *keys])
+        out_cols += [F.col(f"_total_{w}") for w in weights] + [F.col("_rows")]
     return joined.select(*out_cols)
 
 
@@ -216,8 +234,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     counted = (df.where(F.col(value).isNotNull())
                .groupBy(*keys, value).agg(F.count(F.lit(1)).cast("double").alias("_w")))
-    totals = counted.groupBy(*keys).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_nd"))
-    ranked = ordered_scan(counted, keys, value, weights=["_w"]).join(totals, keys)
+    ranked = (ordered_scan(counted, keys, value, weights=["_w"], with_totals=True)
+              .withColumnsRenamed({"_total__w": "_n", "_rows": "_nd"}))
     lo_hits, aggs = [], []
     for name, q in probs:
         pos = F.lit(float(q)) * (F.col("_n") - 1)

@@ -39,11 +39,10 @@ def rank_percentile(df: DataFrame, keys: Sequence[str], score: str,
     data, k = _with_group(df, keys)
     counted = (data.where(F.col(score).isNotNull()).groupBy(*k, score)
                .agg(F.count(F.lit(1)).cast("double").alias("_c")))
-    ranked = ordered_scan(counted, k, score, weights=["_c"])
-    totals = counted.groupBy(*k).agg(F.sum("_c").alias("_n"))
+    ranked = ordered_scan(counted, k, score, weights=["_c"], with_totals=True)
     avg_rank = F.col("_before__c") + (F.col("_c") + 1) / 2
-    pct = ranked.join(totals, k).select(
-        *k, score, ((avg_rank - 1) / F.greatest(F.col("_n") - 1, F.lit(1.0))).alias(name))
+    pct = ranked.select(
+        *k, score, ((avg_rank - 1) / F.greatest(F.col("_total__c") - 1, F.lit(1.0))).alias(name))
     out = data.join(pct, [*k, score], "left")
     return out.drop(ALL) if not keys else out
 
