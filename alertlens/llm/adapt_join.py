@@ -348,3 +348,22 @@ def one_of_each_group(docs: DataFrame, width: int = 5, threshold: tuple[int, int
     found = (similar_groups(docs, width, threshold).filter(F.col("doc_id") != F.col("component_id"))
              .select(F.col("doc_id").alias("g_copy")).distinct())
     return docs.join(found, F.col("doc_id") == F.col("g_copy"), "left_anti")
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+l AS (
+  SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM d),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles FROM l),
+e AS (SELECT doc_id, unnest(s) AS g FROM l),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+k AS (
+  SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+  WHERE 100 * p.c >= 90 * (x.n_shingles + y.n_shingles - p.c)),
+r AS (SELECT doc_id AS node, doc_id AS reach FROM d UNION SELECT r.node, k.b FROM r JOIN k ON r.reach = k.a)
+SELECT n.doc_id, n.n_shingles, min(r.reach) AS component_id FROM n JOIN r ON r.node = n.doc_id GROUP BY ALL
+"""

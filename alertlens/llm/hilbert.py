@@ -134,8 +134,19 @@ def write_shards(docs: DataFrame, path: str, n_shards: int = SHARDS, bits: int =
      .write.partitionBy("shard").mode("errorifexists").parquet(path))
 
 
+def _crc_table() -> list[int]:
+    """Remainders of the bytes by the CRC-32 polynomial, lowest bit first."""
+    out = list(range(256))
+    for _ in range(8):
+        out = [(x >> 1) ^ (0xEDB88320 if x & 1 else 0) for x in out]
+    return out
+
+
 def oracle(bits: int = BITS, n_shards: int = SHARDS) -> str:
-    """The same sharding in DuckDB SQL, the state machine unrolled bit by bit."""
+    """The same sharding in DuckDB SQL: the state machine unrolled bit by bit, crc32 folded byte by byte."""
+    octets = "list_transform(range(0, length(hx) // 2), lambda i: CAST('0x' || substr(hx, CAST(2 * i + 1 AS BIGINT), 2) AS UINTEGER))"
+    fold = f"lambda c, x: xor(c >> 8, CAST({_crc_table()}[(xor(c, x) & 255) + 1] AS UINTEGER))"
+    crc = f"CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UINTEGER), {octets}), {fold}), 4294967295) AS BIGINT)"
     moves, digits = automaton(3)
     steps, last = [], "cells"
     for b in reversed(range(bits)):
@@ -146,7 +157,8 @@ def oracle(bits: int = BITS, n_shards: int = SHARDS) -> str:
     spread = f"CAST(floor((row_number() OVER (ORDER BY v NULLS LAST) - 1) * {1 << bits} / greatest(count(*) OVER (), {1 << bits})) AS INTEGER)"
     return f"""
 WITH d AS (SELECT doc_id, lang, source, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
-                  md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k FROM documents),
+                  md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k, {crc} AS text_crc32
+           FROM (SELECT *, hex(encode(coalesce(text, ''))) AS hx FROM documents)),
 lv AS (SELECT v, {spread} AS c FROM (SELECT DISTINCT lang AS v FROM d)),
 sv AS (SELECT v, {spread} AS c FROM (SELECT DISTINCT source AS v FROM d)),
 cells AS (SELECT d.*, lv.c AS lc, sv.c AS sc, least(length(bin(size)) - 1, {(1 << bits) - 1}) AS zc, 0 AS state, 0 AS idx
@@ -154,7 +166,7 @@ cells AS (SELECT d.*, lv.c AS lc, sv.c AS sc, least(length(bin(size)) - 1, {(1 <
 {", ".join(steps)},
 r AS (SELECT *, row_number() OVER (ORDER BY idx, k, doc_id, size) - 1 AS rnk, count(*) OVER () AS n FROM {last}),
 s AS (SELECT *, rnk * {n_shards} // n AS shard FROM r)
-SELECT doc_id, size, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
        CAST(rnk - (shard * n + {n_shards - 1}) // {n_shards} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM s
 """

@@ -60,5 +60,7 @@ LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_line_edits, op3_pitm
 LLM_ORACLE = {
     "op1_mix_sources": mixing.ORACLE,
     "op5_mtree": mtree.ORACLE,
+    "op6_adaptive_jaccard": adapt_join.ORACLE,
     "op8_bloom_cascade": bloom_cascade.ORACLE,
+    "op9_hilbert_shards": hilbert.oracle(),
 }
