@@ -1,12 +1,13 @@
 """Parquet file audit: which files are unreadable, and why (S3).
 
-One row per file from the ``binaryFile`` source: path, length, PAR1 magic at
-head and tail, whether the footer metadata parses, and the number of UTF-8
-replacement sequences (EF BF BD) -- the trace of a text-mode transfer that
-replaced every byte above 0x7F.  Files are checked in Arrow-batched pandas
-tasks, one file per row, distributed over the cluster.  ``binaryFile`` holds
-a whole file per row (2 GB cap), so the audit is run on demand, when a read
-fails, not on every read.
+One row per file: path, length, PAR1 magic at head and tail, whether the
+footer metadata parses, and the number of UTF-8 replacement sequences
+(EF BF BD) -- the trace of a text-mode transfer that replaced every byte above
+0x7F.  Files are listed by the ``binaryFile`` source and checked in
+Arrow-batched tasks.  Files up to ``WHOLE_BYTES`` arrive with their content;
+larger ones, which the source cannot hold in a row, are opened by the task,
+which seeks to the magic and the footer and reads through the file in pieces
+only if its footer does not parse.
 """
 from __future__ import annotations
 
@@ -24,31 +25,63 @@ class CorruptParquetError(RuntimeError):
     """Raised when a parquet file cannot be deserialized."""
 
 
-def _footer_ok(data: bytes) -> bool:
+#: files up to this size are read by the listing source
+WHOLE_BYTES = 1 << 30
+PIECE = 16 << 20
+
+
+def _readable(source) -> bool:
     import pyarrow.parquet as pq
     try:
-        pq.ParquetFile(io.BytesIO(data)).metadata
+        pq.read_metadata(source)
         return True
     except Exception:
         return False
 
 
+def _count_replacements(stream) -> int:
+    """Replacement sequences of a stream, read in pieces that overlap by two bytes."""
+    found, kept = 0, b""
+    while piece := stream.read(PIECE):
+        found += (kept + piece).count(REPLACEMENT)
+        kept = piece[-2:]
+    return found
+
+
+def _inspect_stream(stream, length: int) -> tuple[bool, bool, bool, int]:
+    """(head magic, tail magic, footer parses, replacement sequences) of a seekable file;
+    a file whose footer parses is not read through."""
+    head = stream.read(4) == MAGIC
+    stream.seek(max(0, length - 4))
+    tail = stream.read(4) == MAGIC
+    stream.seek(0)
+    if head and tail and _readable(stream):
+        return True, True, True, 0
+    stream.seek(0)
+    return head, tail, False, _count_replacements(stream)
+
+
 def _inspect(batches):
     for pdf in batches:
-        data = [bytes(c) if c is not None else b"" for c in pdf["content"]]
-        yield pd.DataFrame({
-            "path": pdf["path"], "length": pdf["length"],
-            "head_magic": [d[:4] == MAGIC for d in data],
-            "tail_magic": [d[-4:] == MAGIC for d in data],
-            "readable": [_footer_ok(d) for d in data],
-            "replacement_chars": [d.count(REPLACEMENT) for d in data],
-        })
+        rows = []
+        for path, length, content in zip(pdf["path"], pdf["length"], pdf["content"]):
+            if content is not None:
+                rows.append(_inspect_stream(io.BytesIO(bytes(content)), length))
+                continue
+            from pyarrow import fs
+            store, name = fs.FileSystem.from_uri(path)
+            with store.open_input_file(name) as stream:
+                rows.append(_inspect_stream(stream, length))
+        out = pd.DataFrame(rows, columns=["head_magic", "tail_magic", "readable", "replacement_chars"])
+        yield pd.concat([pdf[["path", "length"]].reset_index(drop=True), out], axis=1)
 
 
-def audit_parquet(spark: SparkSession, path: str) -> DataFrame:
+def audit_parquet(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
     """``path, length, head_magic, tail_magic, readable, replacement_chars``."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.parquet").load(path))
-    return files.select("path", "length", "content").mapInPandas(
+    small = files.where(F.col("length") <= whole_bytes).select("path", "length", "content")
+    large = files.where(F.col("length") > whole_bytes).select("path", "length", F.lit(None).cast("binary").alias("content"))
+    return small.unionByName(large).mapInPandas(
         _inspect, "path string, length long, head_magic boolean, tail_magic boolean, "
                   "readable boolean, replacement_chars long")
