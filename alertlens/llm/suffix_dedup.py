@@ -11,9 +11,11 @@ shard with every other:
   equal contexts of a shard once, with their smallest id.  The merge shard
   builds the suffix array of its contexts (Larsson-Sadakane refinement), the
   common prefixes of neighbours (Kasai) and so the smallest id of each string.
-* An anchor held by a large part of the shards would load one merge shard.  Its
-  strings are sent as sorted fingerprints instead, dealt by value, and the
-  shards' sorted lists are merged by binary search.
+* An anchor with more contexts than one suffix array takes is answered place by
+  place: equal strings hold their anchor at the same place.
+* An anchor held by very many shards would load one merge shard.  Its strings
+  are sent as sorted fingerprints instead, dealt by value, and the shards'
+  sorted lists are merged by binary search.
 
 Whole copies are found first and need none of this.  The shards' texts are
 shuffled once and that exchange is used by every pass.
@@ -35,10 +37,12 @@ WINDOW, ANCHOR = 50, 16
 GRAMS = WINDOW - ANCHOR + 1
 BEFORE = WINDOW - ANCHOR
 CONTEXT = BEFORE + WINDOW
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
-#: an anchor is common if it is found in so many shards and in so large a part of them
-COMMON_SHARDS, COMMON_PART = 64, 4
+#: contexts in one suffix array; those of an anchor stay together
+ARRAY_CONTEXTS = 8192
+#: an anchor found in so many shards is common
+COMMON_SHARDS = 1024
 LAST_ID = np.iinfo(np.int64).max
 _U = np.uint64
 
@@ -166,15 +170,21 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     eight = _words_at_every_byte(data)
     grams = n - ANCHOR + 1
-    h = mix(eight[:grams] * _U(0x9E3779B97F4A7C15) + mix(eight[8: grams + 8] + _U(0x2545F4914F6CDD1D))) & ~_U(1)
-    least = _sliding(h, GRAMS, np.minimum)
+    h = eight[:grams] * _U(0x9E3779B97F4A7C15)
+    h += eight[8: grams + 8] * _U(0xC2B2AE3D27D4EB4F)
+    h ^= h >> _U(32)
+    h *= _U(0xBF58476D1CE4E5B9)
+    order = (h >> _U(32)).astype(np.uint32) | np.uint32(1)
+    least = _sliding(order, GRAMS, np.minimum)
     # strings across two documents choose nothing
     for b in offsets[1:-1].tolist():
         least[max(0, b - WINDOW + 1): min(b, len(least))] = 0
-    wide = np.concatenate((np.zeros(GRAMS - 1, np.uint64), least, np.zeros(GRAMS - 1, np.uint64)))
+    wide = np.zeros(len(least) + 2 * (GRAMS - 1), np.uint32)
+    wide[GRAMS - 1: GRAMS - 1 + len(least)] = least
     top = _sliding(wide, GRAMS, np.maximum)
-    at = np.flatnonzero((top[:grams] == h) & (top[:grams] > 0))
-    return at, h[at]
+    at = np.flatnonzero(top[:grams] == order)
+    found = h[at]
+    return at, (found ^ (found >> _U(29))) & ~_U(1)
 
 
 class _Shard:
@@ -233,25 +243,43 @@ class _Shard:
     def strings(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places, documents and fingerprints (two hashes) of all strings around chosen anchors."""
         p, d = self.place[chosen], self.doc[chosen]
-        at = np.unique((p[:, None] - np.arange(BEFORE + 1)).ravel()) if len(p) else np.zeros(0, np.int64)
-        at = at[at >= 0]
+        edges = np.zeros(len(self.data) + 1, np.int32)
+        np.add.at(edges, np.maximum(p - BEFORE, self.offsets[d]), 1)
+        np.add.at(edges, p + 1, -1)
+        at = np.flatnonzero(np.cumsum(edges[:-1], dtype=np.int32))
         doc = np.searchsorted(self.offsets, at, "right") - 1
         fits = at + WINDOW <= self.offsets[doc + 1]
         at, doc = at[fits], doc[fits]
-        near = np.isin(doc, d)
-        at, doc = at[near], doc[near]
         prints = np.zeros((len(at), 2), np.uint64)
-        for k in range(2):
-            h = np.full(len(at), 17 + k, np.uint64)
-            for s in range(0, WINDOW, 5):
-                piece = np.zeros(len(at), np.uint64)
-                for b in range(5):
-                    piece = piece << _U(8) | self.data[at + s + b]
-                h = mix(h * _U(0x9E3779B97F4A7C15 + 2 * k) + piece + _U(1))
-            prints[:, k] = h
+        for lo in range(0, len(at), 1 << 17):
+            prints[lo: lo + (1 << 17)] = _fingerprints(self.data, at[lo: lo + (1 << 17)])
         return at, doc, prints
 
 
+def _fingerprints(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Two independent hashes of the string at each place."""
+    out = np.empty((len(at), 2), np.uint64)
+    for k in range(2):
+        h = np.full(len(at), 17 + k, np.uint64)
+        for s in range(0, WINDOW, 5):
+            piece = np.zeros(len(at), np.uint64)
+            for b in range(5):
+                piece = piece << _U(8) | data[at + s + b]
+            h = mix(h * _U(0x9E3779B97F4A7C15 + 2 * k) + piece + _U(1))
+        out[:, k] = h
+    return out
+
+
+def _numbered(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct fingerprints, number of each in them)."""
+    order = np.lexsort((prints[:, 1], prints[:, 0]))
+    ranked = prints[order]
+    new = np.concatenate((np.ones(min(1, len(order)), bool), (ranked[1:] != ranked[:-1]).any(axis=1)))
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return np.ascontiguousarray(ranked[new]).view([("a", "u8"), ("b", "u8")]).ravel(), number
+
+
 # --- the passes ----------------------------------------------------------------------------
 
 def _cuts(buckets: int) -> np.ndarray:
@@ -272,7 +300,7 @@ def _copies_in(pdf: pd.DataFrame) -> set:
     found: set = set()
     for kind, owners in zip(pdf["kind"], pdf["owners"]):
         if kind < 0:
-            found.update(np.frombuffer(owners, "<i8").tolist())
+            found.add(int.from_bytes(owners, "big", signed=True))
     return found
 
 
@@ -287,9 +315,8 @@ def _send_anchors(buckets: int):
     return run
 
 
-def _find_shared(shards: int):
+def _find_shared(common: int):
     """Tell each shard about its anchors: 0 found in one document, 1 in several, 2 common."""
-    common = max(COMMON_SHARDS, shards // COMMON_PART)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lists = [np.frombuffer(x, np.uint64) for x in pdf["items"]]
@@ -317,13 +344,57 @@ def _least_by(number: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
     return least
 
 
-def _bucket_of(records: np.ndarray, merges: int) -> np.ndarray:
-    """Merge shard of each distinct record: by the bytes of its anchor, which stands after the bytes before it."""
+def _anchor_of(records: np.ndarray) -> np.ndarray:
+    """Hash of each record's anchor, which stands after the bytes before it."""
     rows = records.view(np.uint8).reshape(len(records), CONTEXT + 2)
     columns = rows[:, CONTEXT].astype(np.int64)[:, None] + np.arange(ANCHOR)
     gram = np.ascontiguousarray(np.take_along_axis(rows, columns, 1)).view("<u8").reshape(-1, 2)
-    h = mix(gram[:, 0] + mix(gram[:, 1] + _U(0x9E3779B97F4A7C15)))
-    return (h % _U(merges)).astype(np.int64)
+    return mix(gram[:, 0] + mix(gram[:, 1] + _U(0x9E3779B97F4A7C15)))
+
+
+def _bucket_of(records: np.ndarray, merges: int) -> np.ndarray:
+    """Merge shard of each distinct record."""
+    return (_anchor_of(records) % _U(merges)).astype(np.int64)
+
+
+def _removed_by_place(rows: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """As _removed_strings, for the records of one anchor: their strings that hold it at one place are compared at a time."""
+    removed = np.zeros(len(rows), np.int64)
+    before, size = rows[:, CONTEXT].astype(np.int64), rows[:, CONTEXT + 1].astype(np.int64)
+    flat, width = rows.reshape(-1), rows.shape[1]
+    for ahead in range(BEFORE + 1):
+        start = before - ahead
+        own = np.flatnonzero((start >= 0) & (start + WINDOW <= size))
+        prints, number = _numbered(_fingerprints(flat, own * width + start[own]))
+        smallest = _least_by(number, least[own], len(prints))
+        goes = own[smallest[number] < least[own]]
+        removed[goes] |= 1 << start[goes]
+    return removed
+
+
+def _removed_strings(distinct: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Bits of the places at which a record's strings start in a document with a smaller id than its own."""
+    rows = distinct.view(np.uint8).reshape(len(distinct), CONTEXT + 2)
+    removed = np.zeros(len(distinct), np.int64)
+    order = np.argsort(_anchor_of(distinct), kind="stable")
+    anchor = _anchor_of(distinct)[order]
+    starts = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+    sizes = np.diff(np.append(starts, len(order)))
+    # an anchor with one context has equal strings in equal contexts only
+    large = sizes > ARRAY_CONTEXTS
+    for a, n in zip(starts[large].tolist(), sizes[large].tolist()):
+        removed[order[a: a + n]] = _removed_by_place(rows[order[a: a + n]], least[order[a: a + n]])
+    usual = (sizes > 1) & ~large
+    several, sizes = starts[usual], sizes[usual]
+    bits = 1 << np.arange(BEFORE + 1, dtype=np.int64)
+    lo = 0
+    while lo < len(several):
+        hi = max(lo + 1, int(np.searchsorted(several, several[lo] + ARRAY_CONTEXTS)))
+        part = np.concatenate([order[a: a + n] for a, n in zip(several[lo:hi].tolist(), sizes[lo:hi].tolist())])
+        owners = first_owner(rows[part, :CONTEXT], rows[part, CONTEXT + 1].astype(np.int64), least[part])
+        removed[part] = (owners[:, : BEFORE + 1] < least[part, None]) @ bits
+        lo = hi
+    return removed
 
 
 def _chosen(s: _Shard, told: pd.DataFrame, buckets: int, merges: int):
@@ -333,8 +404,7 @@ def _chosen(s: _Shard, told: pd.DataFrame, buckets: int, merges: int):
     least = _least_by(number, s.ids[doc], len(distinct))
     bucket = _bucket_of(distinct, merges) if len(distinct) else np.zeros(0, np.int64)
     at, at_doc, prints = s.strings(state == 2)
-    both = np.ascontiguousarray(prints).view([("a", "u8"), ("b", "u8")]).ravel()
-    distinct_prints, print_number = np.unique(both, return_inverse=True)
+    distinct_prints, print_number = _numbered(prints)
     print_least = _least_by(print_number, s.ids[at_doc], len(distinct_prints))
     return (records, distinct, number, start, doc, least, bucket), (at, at_doc, distinct_prints, print_number, print_least)
 
@@ -370,9 +440,7 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     every = np.concatenate([np.frombuffer(x, f"V{CONTEXT + 2}") for x in pdf["items"]])
     distinct, number = np.unique(every, return_inverse=True)
     least = _least_by(number, ids, len(distinct))
-    rows = distinct.view(np.uint8).reshape(len(distinct), CONTEXT + 2)
-    strings = first_owner(rows[:, :CONTEXT], rows[:, CONTEXT + 1].astype(np.int64), least)
-    removed = (strings[:, : BEFORE + 1] < least[:, None]) @ (1 << np.arange(BEFORE + 1, dtype=np.int64))
+    removed = _removed_strings(distinct, least)
     return pd.DataFrame({"kind": 1, "shard": pdf["shard"], "bucket": pdf["bucket"],
                          "items": [x.tobytes() for x in np.split(removed[number], ends)], "owners": [x.tobytes() for x in np.split(least[number], ends)]})
 
@@ -441,11 +509,11 @@ def remove_repeats(docs: DataFrame, texts: bool = True, shard_bytes: int = SHARD
     ids = docs.select(F.coalesce("doc_id", F.lit(int(LAST_ID))).cast("long").alias("id"), shard.alias("shard"), F.sha2(text, 256).alias("sha"))
     least = ids.groupBy(F.col("sha").alias("l_sha")).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = ids.join(least, F.col("sha") == F.col("l_sha")).filter(F.col("id") > F.col("least")).select("shard", "id")
-    copies = copies.groupBy("shard", (F.col("id") % 64).alias("part")).applyInPandas(
-        lambda p: pd.DataFrame([(-1, int(p["shard"].iloc[0]), 0, b"", p["id"].to_numpy("<i8").tobytes())], columns=["kind", "shard", "bucket", "items", "owners"]), _SENT)
+    packed = F.unhex(F.lpad(F.hex("id"), 16, "0"))
+    copies = copies.select(F.lit(-1).alias("kind"), "shard", F.lit(0).cast("long").alias("bucket"), F.lit(b"").alias("items"), packed.alias("owners"))
 
     sent = rows.cogroup(copies.groupBy("shard")).applyInPandas(_send_anchors(buckets), _SENT)
-    shared = sent.groupBy("bucket").applyInPandas(_find_shared(shards), _SENT).unionByName(copies)
+    shared = sent.groupBy("bucket").applyInPandas(_find_shared(COMMON_SHARDS), _SENT).unionByName(copies)
     contexts = rows.cogroup(shared.groupBy("shard")).applyInPandas(_send_contexts(buckets, merges), _SENT)
     merged = contexts.groupBy("kind", "bucket").applyInPandas(_merge, _SENT).unionByName(shared)
     return rows.cogroup(merged.groupBy("shard")).applyInPandas(
