@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .rank import grouped_auc, rank_percentile
 
 MIN_GAIN = 0.001
+REFINE = (5, 2, 1)   # steps of the refinement in hundredths
 AUC_TIE_DIGITS = 9   # AUCs equal to 9 decimals count as ties (first grid point wins)
 
 
@@ -59,41 +60,64 @@ def simplex_grid(n_models: int, step: float = 0.1) -> list[tuple[float, ...]]:
     return [tuple(x / k for x in c) for c in pts]
 
 
-def weight_grid(wide_pct: DataFrame, models: Sequence[str], label: str = "label",
-                step: float = 0.1) -> DataFrame:
-    """AUC of the blend for every simplex grid point: ``(grid_id, w_<model>..., auc)``.
-
-    ``wide_pct`` has one rank-percentile column per model and the label."""
-    grid = simplex_grid(len(models), step)
+def _score_points(wide_pct: DataFrame, models: Sequence[str], label: str,
+                  points: Sequence[tuple[float, ...]]) -> DataFrame:
+    """AUC of the blend for each weight vector: ``(grid_id, w_<model>..., auc)``."""
     arr = F.array(*[F.struct(F.lit(i).alias("grid_id"),
                              *[F.lit(float(w)).alias(f"w_{m}") for w, m in zip(pt, models)])
-                    for i, pt in enumerate(grid)])
+                    for i, pt in enumerate(points)])
     exploded = wide_pct.select(label, *models, F.explode(arr).alias("_g"))
     scored = exploded.select(
         label, F.col("_g.grid_id").alias("grid_id"),
         sum((F.col(f"_g.w_{m}") * F.col(m) for m in models), F.lit(0.0)).alias("_blend"))
     aucs = grouped_auc(scored, ["grid_id"], "_blend", label)
-    spark = wide_pct.sparkSession
-    points = spark.createDataFrame(
-        [(i, *[float(w) for w in pt]) for i, pt in enumerate(grid)],
+    table = wide_pct.sparkSession.createDataFrame(
+        [(i, *[float(w) for w in pt]) for i, pt in enumerate(points)],
         "grid_id int, " + ", ".join(f"w_{m} double" for m in models))
-    return points.join(aucs.select("grid_id", "auc"), "grid_id")
+    return table.join(aucs.select("grid_id", "auc"), "grid_id")
+
+
+def weight_grid(wide_pct: DataFrame, models: Sequence[str], label: str = "label",
+                step: float = 0.1) -> DataFrame:
+    """AUC of the blend for every simplex grid point: ``(grid_id, w_<model>..., auc)``.
+
+    ``wide_pct`` has one rank-percentile column per model and the label."""
+    return _score_points(wide_pct, models, label, simplex_grid(len(models), step))
+
+
+def neighbours(center: Sequence[int], delta: int) -> list[tuple[int, ...]]:
+    """Weights in hundredths around ``center`` (itself first): every weight but
+    the last moves by -delta, 0 or delta, the last takes up the difference."""
+    moved = []
+    for move in itertools.product((-delta, 0, delta), repeat=len(center) - 1):
+        head = [c + m for c, m in zip(center, move)]
+        point = (*head, 100 - sum(head))
+        if any(move) and all(0 <= x <= 100 for x in point):
+            moved.append(point)
+    return [tuple(center), *moved]
 
 
 def choose_weights(wide_pct: DataFrame, models: Sequence[str], label: str = "label",
                    step: float = 0.1, min_gain: float = MIN_GAIN) -> DataFrame:
-    """Fitted (best grid point) weights if they beat equal weights by ``min_gain``.
+    """Fitted weights if they beat equal weights by ``min_gain``.
 
+    The best point of the grid is refined by the steps of ``REFINE``: each
+    scores the points around the best one and moves there if the AUC rises.
     One row: ``method, equal_auc, fitted_auc, w_<model>...``."""
-    grid = weight_grid(wide_pct, models, label, step)
-    best = grid.agg(F.max_by(F.struct(*[F.col(f"w_{m}") for m in models], F.col("auc")),
-                             F.struct(F.round("auc", AUC_TIE_DIGITS), -F.col("grid_id"))).alias("b"))
+    def best_of(scored: DataFrame):
+        names = [f"w_{m}" for m in models]
+        top = scored.orderBy(F.desc(F.round("auc", AUC_TIE_DIGITS)), "grid_id").first()     # one row
+        return tuple(round(100 * top[n]) for n in names), top["auc"]
+
+    point, auc = best_of(weight_grid(wide_pct, models, label, step))
+    for delta in REFINE:
+        around = [tuple(x / 100 for x in p) for p in neighbours(point, delta)]
+        point, auc = best_of(_score_points(wide_pct, models, label, around))
     equal = wide_pct.select(label, (sum((F.col(m) for m in models), F.lit(0.0)) / len(models)).alias("_e"))
-    equal_auc = grouped_auc(equal, [], "_e", label).select("auc")
-    row = best.select("b.*").withColumn("equal_auc", equal_auc.scalar())
-    use_fit = (F.col("auc") - F.col("equal_auc")) >= min_gain
+    row = grouped_auc(equal, [], "_e", label).select(F.col("auc").alias("equal_auc"))
+    use_fit = (F.lit(auc) - F.col("equal_auc")) >= min_gain
     return row.select(
         F.when(use_fit, F.lit("fitted")).otherwise(F.lit("equal")).alias("method"),
-        F.col("equal_auc"), F.col("auc").alias("fitted_auc"),
-        *[F.when(use_fit, F.col(f"w_{m}")).otherwise(F.lit(1.0 / len(models))).alias(f"w_{m}")
-          for m in models])
+        F.col("equal_auc"), F.lit(auc).alias("fitted_auc"),
+        *[F.when(use_fit, F.lit(x / 100)).otherwise(F.lit(1.0 / len(models))).alias(f"w_{m}")
+          for x, m in zip(point, models)])

@@ -465,10 +465,24 @@ ORACLE["weight_grid"] = with_ctes(*M, *_WIDE) + f"""
 SELECT CAST(grid_id AS BIGINT) AS grid_id, {d('w1')} AS w_{GRID_MODELS[0]}, {d('w2')} AS w_{GRID_MODELS[1]},
        {d('w3')} AS w_{GRID_MODELS[2]}, {d('auc')} AS auc FROM gj"""
 
-ORACLE["weight_choice"] = with_ctes(*M, *_WIDE, f"""
+def _refined(delta: int, source: str) -> list[str]:
+    """CTEs of one refinement step: the best of `source` and its neighbours, scored as rj<delta>."""
+    t1, t2, t3 = GRID_MODELS
+    return [
+        f"rb{delta} AS (SELECT CAST(round(100 * w1) AS INTEGER) AS h1, CAST(round(100 * w2) AS INTEGER) AS h2 FROM {source} ORDER BY round(auc, 9) DESC, grid_id LIMIT 1)",
+        f"""rp{delta} AS (SELECT row_number() OVER (ORDER BY i <> 0 OR j <> 0, i, j) - 1 AS grid_id,
+             CAST(h1 + i AS DOUBLE) / 100 AS w1, CAST(h2 + j AS DOUBLE) / 100 AS w2, CAST(100 - h1 - i - h2 - j AS DOUBLE) / 100 AS w3
+             FROM rb{delta}, (SELECT unnest([-{delta}, 0, {delta}]) AS i) ti, (SELECT unnest([-{delta}, 0, {delta}]) AS j) tj
+             WHERE h1 + i BETWEEN 0 AND 100 AND h2 + j BETWEEN 0 AND 100 AND 100 - h1 - i - h2 - j BETWEEN 0 AND 100)""",
+        f"""rs{delta} AS (SELECT p.grid_id, wide.label, 0.0 + p.w1 * wide.{t1} + p.w2 * wide.{t2} + p.w3 * wide.{t3} AS s FROM wide, rp{delta} p)""",
+        auc_cte(f"ra{delta}", f"rs{delta}", ["grid_id"], "s"),
+        f"rj{delta} AS (SELECT p.*, a.auc FROM rp{delta} p JOIN ra{delta} a ON p.grid_id = a.grid_id)"]
+
+
+ORACLE["weight_choice"] = with_ctes(*M, *_WIDE, *_refined(5, "gj"), *_refined(2, "rj5"), *_refined(1, "rj2"), f"""
 eq AS (SELECT label, ({' + '.join(f'0.0 + wide.{m}' if i == 0 else f'wide.{m}' for i, m in enumerate(GRID_MODELS))}) / {len(GRID_MODELS)} AS s FROM wide)""",
                                     auc_cte("ea", "eq", [], "s"), """
-best AS (SELECT * FROM gj ORDER BY round(auc, 9) DESC, grid_id ASC LIMIT 1),
+best AS (SELECT w1, w2, w3, auc FROM rj1 ORDER BY round(auc, 9) DESC, grid_id LIMIT 1),
 ch AS (SELECT best.*, ea.auc AS equal_auc, best.auc - ea.auc >= 0.001 AS use_fit FROM best, ea)""") + f"""
 SELECT CASE WHEN use_fit THEN 'fitted' ELSE 'equal' END AS method, {d('equal_auc')} AS equal_auc,
        {d('auc')} AS fitted_auc,
