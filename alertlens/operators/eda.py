@@ -149,15 +149,21 @@ def history_profile(history: DataFrame, column: str = "days_before") -> DataFram
     return stats.join(qs, "_all", "left").select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def publish_guard(tables: dict[str, DataFrame], id_columns: Sequence[str] = (ALERT_ID,),
+def publish_guard(tables: dict[str, DataFrame], ids: DataFrame, id_columns: Sequence[str] = (ALERT_ID,),
                   max_rows: int = 5000) -> DataFrame:
     """Published tables hold no raw ids and fewer than ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops each scan early."""
-    spark = next(iter(tables.values())).sparkSession
+    Ids must appear neither as a column nor as a value of a text column
+    (``ids`` has one column of them).  ``rows_seen`` stops at ``max_rows + 1``:
+    a table is read no further than that."""
+    spark = ids.sparkSession
+    known = ids.select(F.col(ids.columns[0]).cast("string").alias("_id"))
     rows = []
     for name, df in tables.items():
-        n = df.limit(max_rows + 1).count()
-        has_ids = any(c in df.columns for c in id_columns)
-        rows.append((name, int(n), n < max_rows, not has_ids))
-    return spark.createDataFrame(rows, "table string, rows_seen long, small boolean, no_raw_ids boolean")
+        head = df.limit(max_rows + 1)
+        n = head.count()
+        texts = [c for c, kind in df.dtypes if kind == "string"]
+        cells = head.select(F.explode(F.array(*texts)).alias("_id")) if texts else None
+        leaks = cells is not None and not cells.join(known, "_id", "left_semi").isEmpty()
+        rows.append((name, int(n), n < max_rows, not any(c in df.columns for c in id_columns), not leaks))
+    return spark.createDataFrame(rows, "table string, rows_seen long, small boolean, no_raw_ids boolean, no_id_values boolean")

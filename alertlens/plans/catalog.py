@@ -382,7 +382,7 @@ def _publish_guard(i):
               "volume_by_outcome": eda.volume_by_outcome(i.train, th),
               "days_before_hist": eda.days_before_hist(i.train, th),
               "type_by_outcome": eda.type_by_outcome(i.train, th)}
-    return eda.publish_guard(tables)
+    return eda.publish_guard(tables, i.alerts.select(ALERT_ID))
 
 
 def _out_dir(i, name):

@@ -299,6 +299,19 @@ SELECT {d('avg(CAST(label AS DOUBLE))')} AS escalation_rate, count(*) AS alerts,
        min(alert_date) AS first_alert_date, max(alert_date) AS last_alert_date
 FROM ta"""
 
+
+def _guarded(table: str, *texts: str) -> str:
+    rows = f"({ORACLE[f'eda_{table}']})"
+    leak = " OR ".join(f"{c} IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer)" for c in texts) or "false"
+    return (f"SELECT '{table}' AS \"table\", least(count(*), 5001) AS rows_seen, count(*) < 5000 AS small, true AS no_raw_ids, "
+            f"count(*) FILTER (WHERE {leak}) = 0 AS no_id_values FROM {rows} g")
+
+
+ORACLE["publish_guard"] = " UNION ALL ".join([
+    _guarded("target", "outcome"), _guarded("weekly_volume"), _guarded("direction", "direction"), _guarded("types", "type"),
+    _guarded("amount_by_outcome", "outcome"), _guarded("volume_by_outcome", "outcome"),
+    _guarded("days_before_hist", "outcome"), _guarded("type_by_outcome", "tx_type", "outcome")])
+
 ORACLE["history_profile"] = with_ctes(*TRAIN_CTES) + f"""
 SELECT count(days_before) AS count, {d('avg(days_before)')} AS mean, {d('stddev_samp(days_before)')} AS std,
        {d('min(days_before)')} AS min, {d('quantile_cont(days_before, 0.25)')} AS p25,
