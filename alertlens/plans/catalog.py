@@ -66,6 +66,25 @@ def register(name: str):
     return deco
 
 
+# ----------------------------------------------------------- readers
+
+@register("read_alerts")
+def read_alerts(spark, sf_dir):
+    """Orders read as an alert file."""
+    from ..sources.readers import read_alerts as read
+    return normalise(read(spark, f"{sf_dir.rstrip('/')}/orders.parquet",
+                          {ALERT_ID: "o_orderkey", "alert_date": "o_orderdate"}, fmt="parquet"))
+
+
+@register("read_transactions")
+def read_transactions(spark, sf_dir):
+    """Events read as a transaction file."""
+    from ..sources.readers import read_transactions as read
+    return normalise(read(spark, f"{sf_dir.rstrip('/')}/events.parquet",
+                          {ALERT_ID: "user_id", "tx_ts": "ts", "direction": "event_type", "tx_type": "event_type",
+                           "amount": "value"}))
+
+
 # ----------------------------------------------------------- step 1: prepare
 
 @register("prepare_history")

@@ -55,6 +55,13 @@ def b(expr: str) -> str:
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["read_alerts"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS alert_id, CAST(o_orderdate AS TIMESTAMP) AS alert_date FROM orders"""
+
+ORACLE["read_transactions"] = f"""
+SELECT CAST(user_id AS VARCHAR) AS alert_id, ts AS tx_ts, event_type AS direction, event_type AS tx_type,
+       {d('CASE WHEN isnan(value) THEN NULL ELSE value END')} AS amount FROM events"""
+
 ORACLE["prepare_history"] = with_ctes() + f"""
 SELECT alert_id, tx_ts, direction, tx_type, {d('amount')} AS amount, {d('days_before')} AS days_before,
        {b('out_flag')} AS out, {b('hr')} AS hour, {b('dow')} AS dow
