@@ -22,7 +22,7 @@ REPLACEMENT = b"\xef\xbf\xbd"
 
 
 class CorruptParquetError(RuntimeError):
-    """Raised when a parquet file cannot be deserialized."""
+    """A transaction file is damaged; the message names the file and the damage."""
 
 
 #: files up to this size are read by the listing source
