@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alertlens.llm.common import lower_ascii
+from alertlens.llm.common import checkpointed, lower_ascii
 
 #: (verdict, host, path): the deepest rule that fits decides.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -56,7 +56,7 @@ class BloomFilter:
         )
         every = keys.sparkSession.range(self.n_bits // 64).join(words, F.col("id") == F.col("word"), "left")
         row = every.agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("all"))
-        self.words = row.select(F.transform("all", lambda w: w["bits"]).alias("words")).checkpoint()
+        self.words = checkpointed(row.select(F.transform("all", lambda w: w["bits"]).alias("words")))
 
     def passes(self, key: Column) -> Column:
         """Whether the key's bits are all set; the words reach the tasks as a scalar subquery."""
@@ -100,8 +100,8 @@ def tracked_keys(pages: DataFrame) -> DataFrame:
     listed are those that some page reaches with a tracking parameter."""
     host, path = url_parts(F.col("url"))
     tracked = F.coalesce(F.col("url").rlike(r"[?&](utm_[a-z]+|ref)="), F.lit(False))
-    return (pages.select(F.concat(host, path).alias("key"), tracked.alias("listed"))
-            .groupBy("key").agg(F.bool_or("listed").alias("listed")).checkpoint())
+    return checkpointed(pages.select(F.concat(host, path).alias("key"), tracked.alias("listed"))
+                        .groupBy("key").agg(F.bool_or("listed").alias("listed")))
 
 
 def judge(pages: DataFrame, universe: DataFrame | None = None, rules=RULES) -> DataFrame:

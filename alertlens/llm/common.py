@@ -9,6 +9,8 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alertlens.session import ensure_checkpoint_dir
+
 WORD = r"[^ \x09-\x0D]+"
 GAP = r"[ \x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -38,6 +40,12 @@ def hex_bucket(hex_key: Column, digits: int) -> Column:
     return F.conv(F.substring(hex_key, 1, digits), 16, 10).cast("int")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df.checkpoint() in the session's shared checkpoint folder, for small frames."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df once as a table in the session's shared checkpoint folder and read it back.
 
@@ -45,6 +53,6 @@ def materialize(df: DataFrame) -> DataFrame:
     them compressed.
     """
     spark = df.sparkSession
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alertlens.llm.common import checkpointed
+
 
 def _least(edges: DataFrame) -> DataFrame:
     """(n, least): the smallest among a node and its neighbours."""
@@ -28,8 +30,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Self-loops and repeated edges are allowed; the roots stand in the result too.
     """
-    state = (edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-             .filter(F.col("u") != F.col("v")).distinct().checkpoint())
+    state = checkpointed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                         .filter(F.col("u") != F.col("v")).distinct())
     seen = None
     for _ in range(max_rounds):
         mark = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -14,7 +14,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertlens.llm.common import hex_bucket, id_hash
+from alertlens.llm.common import checkpointed, hex_bucket, id_hash
 
 BITS = 5
 SHARDS = 8
@@ -88,10 +88,10 @@ def shard(docs: DataFrame, n_shards: int = SHARDS, bits: int = BITS) -> DataFram
     empty.  Empty input: no rows.  Other input columns are not read.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
+    rows = checkpointed(docs.select(
         F.col("doc_id").alias("h_id"), F.col("lang").alias("h_lang"), F.col("source").alias("h_source"),
         (F.octet_length(text) + 1).cast("long").alias("h_size"), F.crc32(F.encode(text, "UTF-8")).alias("h_crc"),
-    ).checkpoint()
+    ))
     length = F.least(F.floor(F.log2(F.col("h_size"))), F.lit((1 << bits) - 1)).cast("int")
     for col in ("h_lang", "h_source"):
         cells = value_cells(rows, col, bits).withColumnRenamed("value", f"{col}_value").withColumnRenamed("cell", f"{col}_cell")
