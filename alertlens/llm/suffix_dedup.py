@@ -38,9 +38,9 @@ GRAMS = WINDOW - ANCHOR + 1
 BEFORE = WINDOW - ANCHOR
 CONTEXT = BEFORE + WINDOW
 SHARD_BYTES = 4 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 17
 #: contexts in one suffix array; those of an anchor stay together
-ARRAY_CONTEXTS = 8192
+ARRAY_CONTEXTS = 2048
 #: an anchor found in so many shards is common
 COMMON_SHARDS = 1024
 LAST_ID = np.iinfo(np.int64).max
@@ -183,8 +183,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     wide[GRAMS - 1: GRAMS - 1 + len(least)] = least
     top = _sliding(wide, GRAMS, np.maximum)
     at = np.flatnonzero(top[:grams] == order)
-    found = h[at]
-    return at, (found ^ (found >> _U(29))) & ~_U(1)
+    # chosen hashes are small ones: mixed again, their ranges make even buckets
+    return at, mix(h[at]) & ~_U(1)
 
 
 class _Shard:
@@ -445,12 +445,13 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
                          "items": [x.tobytes() for x in np.split(removed[number], ends)], "owners": [x.tobytes() for x in np.split(least[number], ends)]})
 
 
-def removed_spans(offsets: np.ndarray, starts: np.ndarray, whole: np.ndarray) -> np.ndarray:
+def removed_spans(offsets: np.ndarray, starts: Iterator[np.ndarray], whole: np.ndarray) -> np.ndarray:
     """Which bytes go: those covered by a removed string, or of a removed document."""
-    edges = np.zeros(offsets[-1] + 1, np.int64)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, starts + WINDOW, -1)
-    gone = np.cumsum(edges)[:-1] > 0
+    edges = np.zeros(offsets[-1] + 1, np.int32)
+    for some in starts:
+        np.add.at(edges, some, 1)
+        np.add.at(edges, some + WINDOW, -1)
+    gone = np.cumsum(edges, dtype=np.int32)[:-1] > 0
     for d in np.flatnonzero(whole).tolist():
         gone[offsets[d]: offsets[d + 1]] = True
     return gone
@@ -471,13 +472,16 @@ def _finish(buckets: int, merges: int, texts: bool):
         for b, part in _parts(prints["a"], merges):
             smallest[part] = np.frombuffer(answers[2, b][0], "<i8")
         first = s.ids[doc] == owner[number] if len(doc) else np.zeros(0, bool)
-        starts = [at[smallest[print_number] < s.ids[at_doc]]] if len(at) else []
         sizes = records[:, CONTEXT + 1].astype(np.int64)
-        for o in range(BEFORE + 1):
-            fits = (o <= records[:, CONTEXT]) & (o + WINDOW <= sizes)
-            goes = fits & (~first | (removed[number] >> o & 1).astype(bool)) if len(doc) else fits
-            starts.append(start[goes] + o)
-        gone = removed_spans(s.offsets, np.unique(np.concatenate(starts)), s.copy & (np.diff(s.offsets) >= WINDOW))
+
+        def starts():
+            if len(at):
+                yield at[smallest[print_number] < s.ids[at_doc]]
+            for o in range(BEFORE + 1):
+                fits = (o <= records[:, CONTEXT]) & (o + WINDOW <= sizes)
+                yield start[fits & (~first | (removed[number] >> o & 1).astype(bool))] + o
+
+        gone = removed_spans(s.offsets, starts(), s.copy & (np.diff(s.offsets) >= WINDOW))
         out = []
         for i, text in enumerate(s.texts):
             own = gone[s.offsets[i]: s.offsets[i + 1]]
