@@ -147,10 +147,18 @@ def _encoder(shared) -> Encoder:
     return _ENCODERS[vocabulary.digest]
 
 
+_SENT: dict[tuple[str, str], object] = {}
+
+
 def _broadcast(docs: DataFrame, path: str):
+    """The vocabulary of a file, sent once for each application."""
     if Path(path).stat().st_size > MAX_VOCABULARY_BYTES:
         raise ValueError(f"{path} is not a vocabulary: over {MAX_VOCABULARY_BYTES} bytes")
-    return docs.sparkSession.sparkContext.broadcast(Vocabulary(Path(path).read_text(encoding="utf-8")))
+    content, context = Path(path).read_text(encoding="utf-8"), docs.sparkSession.sparkContext
+    key = context.applicationId, hashlib.sha256(content.encode()).hexdigest()
+    if key not in _SENT:
+        _SENT[key] = context.broadcast(Vocabulary(content))
+    return _SENT[key]
 
 
 def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
