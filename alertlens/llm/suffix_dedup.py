@@ -196,7 +196,8 @@ class _Shard:
         self.texts = [bytes(t) for t in docs["text"]]
         order = sorted(range(len(self.texts)), key=lambda i: (self.ids[i], self.texts[i]))
         self.ids, self.texts, self.rows = self.ids[order], [self.texts[i] for i in order], [ids.iloc[i] for i in order]
-        self.copy = np.array([x in copies for x in self.ids.tolist()], bool)
+        digest = (lambda t: hashlib.sha256(t).digest()) if copies else (lambda t: b"")
+        self.copy = np.array([(x, digest(t)) in copies for x, t in zip(self.ids.tolist(), self.texts)], bool)
         sizes = np.array([len(t) for t in self.texts], np.int64)
         self.offsets = np.concatenate(([0], np.cumsum(sizes)))
         self.data = np.frombuffer(b"".join(self.texts), np.uint8)
@@ -297,10 +298,11 @@ _SENT = "kind int, shard long, bucket long, items binary, owners binary"
 
 
 def _copies_in(pdf: pd.DataFrame) -> set:
+    """(id, sha256 of the text) of whole copies: an id alone may belong to several texts."""
     found: set = set()
     for kind, owners in zip(pdf["kind"], pdf["owners"]):
         if kind < 0:
-            found.add(int.from_bytes(owners, "big", signed=True))
+            found.add((int.from_bytes(owners[:8], "big", signed=True), bytes(owners[8:])))
     return found
 
 
@@ -512,8 +514,8 @@ def remove_repeats(docs: DataFrame, texts: bool = True, shard_bytes: int = SHARD
 
     ids = docs.select(F.coalesce("doc_id", F.lit(int(LAST_ID))).cast("long").alias("id"), shard.alias("shard"), F.sha2(text, 256).alias("sha"))
     least = ids.groupBy(F.col("sha").alias("l_sha")).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    copies = ids.join(least, F.col("sha") == F.col("l_sha")).filter(F.col("id") > F.col("least")).select("shard", "id")
-    packed = F.unhex(F.lpad(F.hex("id"), 16, "0"))
+    copies = ids.join(least, F.col("sha") == F.col("l_sha")).filter(F.col("id") > F.col("least")).select("shard", "id", "sha")
+    packed = F.concat(F.unhex(F.lpad(F.hex("id"), 16, "0")), F.unhex("sha"))
     copies = copies.select(F.lit(-1).alias("kind"), "shard", F.lit(0).cast("long").alias("bucket"), F.lit(b"").alias("items"), packed.alias("owners"))
 
     sent = rows.cogroup(copies.groupBy("shard")).applyInPandas(_send_anchors(buckets), _SENT)
