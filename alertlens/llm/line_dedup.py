@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertlens.llm.bloom_cascade import BITS_PER_KEY, MAX_FILTER_BYTES, BloomFilter
-from alertlens.llm.common import materialize
+from alertlens.llm.common import WORD, materialize
 
 THRESHOLD = 1
-#: shorter lines, in code points, repeat by nature and are left alone
+#: shorter lines, in code points, are not searched for edits
 MIN_CHARS = 24
 LAST = 0x7FFFFFFFFFFFFFFF
 
@@ -156,11 +156,11 @@ def verified(pairs: DataFrame, threshold: int) -> DataFrame:
     return found.select(*kept, F.explode(F.array("v_d")).alias("v_d")).filter(F.col("v_d") <= threshold).select(*kept)
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc, pos, line, size, a, b) of the lines that may go: those long enough."""
+def lines_of(docs: DataFrame, short: bool = False) -> DataFrame:
+    """(doc, pos, line, size, a, b) of the lines that may go: those long enough, with `short` all that hold a word."""
     doc = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64("text").alias("h"))
     return (docs.select(doc.alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-            .withColumn("size", F.length("line")).filter(F.col("size") >= MIN_CHARS)
+            .withColumn("size", F.length("line")).filter(F.col("line").rlike(WORD) | (F.col("size") >= MIN_CHARS) if short else F.col("size") >= MIN_CHARS)
             .withColumn("a", F.xxhash64("line")).withColumn("b", F.xxhash64(F.lit(1), "line")))
 
 
@@ -180,16 +180,16 @@ def near_links(lines: DataFrame, threshold: int) -> DataFrame:
     return verified(both, threshold).select("a1", "b1", "a2", "b2")
 
 
-def dropped_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def dropped_lines(docs: DataFrame, threshold: int = THRESHOLD, short: bool = False) -> DataFrame:
     """(doc, equal, near, links, dropped): for documents with links or dropped lines.
 
     equal and near count the dropped lines by cause, links the pairs that the
     document's lines form, dropped lists the line numbers from 0.
     """
-    lines = lines_of(docs)
+    lines = lines_of(docs, short)
     spots = materialize(lines.select("doc", "pos", "a", "b"))
     first = spots.groupBy("a", "b").agg(F.min(F.struct("doc.id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-    links = materialize(near_links(lines, threshold))
+    links = materialize(near_links(lines.filter(F.col("size") >= MIN_CHARS), threshold))
     ends = links.unionByName(links.select(F.col("a2").alias("a1"), F.col("b2").alias("b1"), F.col("a1").alias("a2"), F.col("b1").alias("b2")))
     near = first.select(F.col("a").alias("n_a"), F.col("b").alias("n_b"), F.col("first").alias("n_first"))
     own = first.select(F.col("a").alias("o_a"), F.col("b").alias("o_b"), F.col("first").alias("o_first"))
@@ -209,18 +209,20 @@ def dropped_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                                 F.collect_set(F.when(F.col("repeated") | F.col("late"), F.col("pos"))).alias("dropped")))
 
 
-def _told(docs: DataFrame, threshold: int) -> DataFrame:
+def _told(docs: DataFrame, threshold: int, short: bool) -> DataFrame:
     """docs with the columns d_equal, d_near, d_links and d_dropped."""
-    found = dropped_lines(docs, threshold).select("doc.id", "doc.h", *[F.col(c).alias(f"d_{c}") for c in ("equal", "near", "links", "dropped")])
+    found = dropped_lines(docs, threshold, short).select("doc.id", "doc.h", *[F.col(c).alias(f"d_{c}") for c in ("equal", "near", "links", "dropped")])
     return docs.join(found, (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col("id")) & (F.xxhash64("text") == F.col("h")), "left").drop("id", "h")
 
 
-def line_report(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def line_report(docs: DataFrame, threshold: int = THRESHOLD, short: bool = False) -> DataFrame:
     """doc_id, n_lines, n_equal, n_near, n_links, dropped of every row of documents.
 
     A line goes if an earlier one, by document id and place, equals it or is
     within the threshold of edits; lines are judged on the input.  Lines of
-    fewer than MIN_CHARS characters stay and count for nothing.
+    fewer than MIN_CHARS characters have no edits; with `short`, as the query
+    and the pipeline run it, their exact repeats go unless they are blank,
+    otherwise they stay and count for nothing.
 
     Null text: no lines; empty text: one empty line.  Null ids come last.
     Rows that repeat an id and text are one document.  Empty input: no rows.
@@ -229,15 +231,15 @@ def line_report(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     rows = docs.select("doc_id", "text")
     count = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
     narrow = rows.select("doc_id", F.xxhash64("text").alias("r_h"), count.alias("n_lines"))
-    found = dropped_lines(rows, threshold).select("doc.id", "doc.h", "equal", "near", "links", "dropped")
+    found = dropped_lines(rows, threshold, short).select("doc.id", "doc.h", "equal", "near", "links", "dropped")
     zero = F.lit(0).cast("long")
     return (narrow.join(found, (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col("id")) & (F.col("r_h") == F.col("h")), "left")
             .select("doc_id", "n_lines", F.coalesce("equal", zero).alias("n_equal"), F.coalesce("near", zero).alias("n_near"),
                     F.coalesce("links", zero).alias("n_links"), F.array_sort(F.coalesce("dropped", F.array().cast("array<int>"))).alias("dropped")))
 
 
-def without_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, short: bool = False) -> DataFrame:
     """The rows of documents, their texts without the dropped lines and other columns as they were."""
     kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("d_dropped"), i))
     text = F.when(F.size("d_dropped") > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    return _told(docs, threshold).select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    return _told(docs, threshold, short).select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])

@@ -12,7 +12,7 @@ def op1_mix_sources(spark, sf_dir):
 
 
 def op2_line_edits(spark, sf_dir):
-    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(table(spark, sf_dir, "documents"), short=True)
 
 
 def op3_pitman_yor(spark, sf_dir):
