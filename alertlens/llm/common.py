@@ -16,6 +16,22 @@ GAP = r"[ \x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def crc_table() -> list[int]:
+    """Remainders of the 256 bytes by the CRC-32 polynomial, lowest bit first."""
+    out = list(range(256))
+    for _ in range(8):
+        out = [(x >> 1) ^ (0xEDB88320 if x & 1 else 0) for x in out]
+    return out
+
+
+#: crc32 of a DuckDB blob expression, as BIGINT, folded byte by byte; for the oracles
+SQL_CRC32 = (
+    "xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(octet_length({0})), "
+    "lambda i: CAST('0x' || substr(hex({0}), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)), "
+    f"lambda c, x: xor(c >> 8, CAST({crc_table()}[(xor(c, x) & 255) + 1] AS BIGINT))), "
+    "CAST(4294967295 AS BIGINT))")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
