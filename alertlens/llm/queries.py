@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from alertlens.llm import adapt_join, bloom_cascade, bpe, decision_list, hilbert, importance, line_dedup, mixing, mtree, periodic_runs, pitman_yor, suffix_dedup
+from alertlens.llm import adapt_join, bloom_cascade, bpe, decision_list, hilbert, importance, line_dedup, mixing, mtree, periodic_runs, pitman_yor, secret_grammar, suffix_dedup
 from alertlens.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op10_decision_list(spark, sf_dir):
     return decision_list.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_secret_grammar(spark, sf_dir):
+    return secret_grammar.report(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark, sf_dir):
     return periodic_runs.report(table(spark, sf_dir, "documents"))
 
@@ -63,7 +67,7 @@ def op13_importance(spark, sf_dir):
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_line_edits, op3_pitman_yor, op4_suffix_arrays, op5_mtree, op6_adaptive_jaccard, op7_bpe, op8_bloom_cascade, op9_hilbert_shards, op10_decision_list, op12_periodic_runs, op13_importance)}
+LLM_QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_line_edits, op3_pitman_yor, op4_suffix_arrays, op5_mtree, op6_adaptive_jaccard, op7_bpe, op8_bloom_cascade, op9_hilbert_shards, op10_decision_list, op11_secret_grammar, op12_periodic_runs, op13_importance)}
 
 LLM_ORACLE = {
     "op1_mix_sources": mixing.ORACLE,
