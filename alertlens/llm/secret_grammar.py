@@ -12,7 +12,8 @@ one more automaton in the same way.  Every token of a length that a kind's
 values have is then scored by its log likelihood as that kind over that as an
 ordinary token, a character; tokens over the kind's threshold are marked
 `grammar`.  The threshold is fitted on labelled and ordinary strings that the
-automata have not seen.
+automata have not seen.  The texts may hold credentials that no rule marks, so
+strings as likely for a kind as its own values are not taken for ordinary.
 
 The automata learn from at most SAMPLE distinct strings a kind: those with the
 smallest crc32, so the choice depends on neither order nor partitions.  Each
@@ -34,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alertlens.llm.common import materialize
+
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 KINDS = ("assign", "access", "hex")
 RULES = {
@@ -50,9 +53,8 @@ SAMPLE, MAX_LENGTH = 1000, 256
 MIN_LABELLED = 20
 #: confidence of the merging test, pseudo-count of each symbol
 ALPHA, PSEUDO = 0.05, 0.1
-#: share of unseen labelled strings that may fall below the threshold, and of distinct ordinary ones above it;
-#: the latter hold the very credentials that no rule marks, so their share must fit in
-MISSED, FALSE = 0.02, 0.02
+#: shares of unseen labelled and of unseen ordinary strings that the threshold does not heed
+MISSED, FALSE = 0.02, 0.001
 #: characters of text handled together
 BATCH_CHARS = 4_000_000
 
@@ -238,31 +240,44 @@ class Formats:
         return out
 
 
-def _ratio(automaton: Automaton, ordinary: Automaton, strings: list[bytes]) -> np.ndarray:
-    return (automaton.scores(strings) - ordinary.scores(strings)) / np.array([len(s) + 1 for s in strings])
+def _each(automaton: Automaton, strings: list) -> np.ndarray:
+    """Log probability a symbol, the end counted."""
+    return automaton.scores([s if isinstance(s, bytes) else s.encode() for s in strings]) / np.array([len(s) + 1 for s in strings])
 
 
-def learn(labelled: dict[str, list[str]], ordinary: list[str]) -> Formats:
-    """Formats of the kinds with enough strings; even strings in crc order train, odd ones set the threshold."""
-    def halves(strings):
-        ordered = [s for _, s in sorted((crc32(s.encode()), s) for s in set(strings) if len(s) <= MAX_LENGTH)]
-        return ordered[::2], ordered[1::2]
+def _ratio(automaton: Automaton, ordinary: Automaton, strings: list) -> np.ndarray:
+    return _each(automaton, strings) - _each(ordinary, strings)
+
+
+def _lowest(scores: np.ndarray) -> float:
+    return np.sort(scores)[int(MISSED * len(scores))]
+
 
-    plain, plain_rest = halves(ordinary)
+def _halves(strings: Iterable[str]) -> tuple[list[str], list[str]]:
+    """Strings at even and at odd places by crc32."""
+    ordered = [s for _, s in sorted((crc32(s.encode()), s) for s in set(strings) if len(s) <= MAX_LENGTH)]
+    return ordered[::2], ordered[1::2]
+
+
+def learn(labelled: dict[str, list[str]], ordinary: list[str]) -> Formats:
+    """Formats of the kinds with enough strings; one half trains, the other sets the threshold."""
+    halves = {kind: _halves(labelled[kind]) for kind in KINDS if len(set(labelled.get(kind, ()))) >= MIN_LABELLED}
+    automata = {kind: infer(seen) for kind, (seen, _) in halves.items()}
+    for kind, (_, unseen) in halves.items():
+        alike = _each(automata[kind], ordinary) >= _lowest(_each(automata[kind], unseen))
+        ordinary = [s for s, like in zip(ordinary, alike) if not like]
+    plain, rest = _halves(ordinary)
     background = infer(plain)
     formats = []
-    for kind in KINDS:
-        if len(set(labelled.get(kind, ()))) < MIN_LABELLED:
-            continue
-        seen, unseen = halves(labelled[kind])
-        automaton = infer(seen)
-        good = np.sort(_ratio(automaton, background, [s.encode() for s in unseen]))
-        threshold = good[int(MISSED * len(good))]
-        if plain_rest:
-            bad = np.sort(_ratio(automaton, background, [s.encode() for s in plain_rest]))
-            threshold = max(threshold, np.nextafter(bad[-1 - int(FALSE * len(bad))], np.inf))
+    for kind, (seen, unseen) in halves.items():
+        threshold = _lowest(_ratio(automata[kind], background, unseen))
+        if rest:
+            other = np.sort(_ratio(automata[kind], background, rest))
+            most = other[-1 - int(FALSE * len(other))]
+            # half way between the two, if they are apart
+            threshold = (threshold + most) / 2 if most < threshold else np.nextafter(most, np.inf)
         lengths = [len(s) for s in seen + unseen]
-        formats.append(Format(automaton, min(lengths), max(lengths), float(threshold)))
+        formats.append(Format(automata[kind], min(lengths), max(lengths), float(threshold)))
     return Formats(background, formats)
 
 
@@ -318,7 +333,7 @@ def samples(docs: DataFrame, size: int = SAMPLE) -> dict[str, list[str]]:
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.string(), pa.int64(), pa.string()))],
                                          names=["kind", "crc", "value"])
 
-    found = _texts(docs).mapInArrow(run, "kind string, crc long, value string").distinct()
+    found = materialize(_texts(docs).mapInArrow(run, "kind string, crc long, value string").distinct())
     # each kind's smallest are found task by task (take ordered), so no task sees more than the samples
     parts = [found.where(F.col("kind") == kind).orderBy("crc", "value").limit(size) for kind in (*KINDS, _ORDINARY)]
     out: dict[str, list[str]] = {kind: [] for kind in (*KINDS, _ORDINARY)}
