@@ -3,8 +3,9 @@
 Each table is its own function ``(alerts, history) -> DataFrame`` so it can
 run alone.  ``alerts`` are labelled alerts, ``history`` is the prepared
 history (``prepare``).  All are aggregations with partial (map-side)
-aggregation; the medians use ``exact_quantiles`` because an outcome group
-holds a large share of all transactions.
+aggregation; the medians use ``radix_quantiles`` because an outcome group
+holds a large share of all transactions.  E5 and E13 take ``sketch=True`` for
+approximate quantiles from mergeable sketches instead.
 """
 from __future__ import annotations
 
@@ -14,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import ALERT_DATE, ALERT_ID, AMOUNT, DIRECTION, DIRECTIONS, LABEL, OUTCOMES, TX_TS, TX_TYPE, TX_TYPES
-from .ordered import exact_quantiles
 from .prepare import dedup_alerts
+from .quantiles import SKETCH_RANK_ERROR, merge_sketches, radix_quantiles, sketch_quantiles, sketch_state
 
 HIST_BUCKET_DAYS = 10
 HIST_MAX_DAYS = 180
@@ -74,12 +75,18 @@ def type_counts(history: DataFrame) -> DataFrame:
     return _category_counts(history, TX_TYPE, TX_TYPES, "type")
 
 
-def amount_by_outcome(alerts: DataFrame, history: DataFrame) -> DataFrame:
+def _quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[tuple[str, float]], sketch: bool) -> DataFrame:
+    if sketch:
+        return sketch_quantiles(sketch_state(df, keys, value), keys, probs)
+    return radix_quantiles(df, keys, value, probs)
+
+
+def amount_by_outcome(alerts: DataFrame, history: DataFrame, sketch: bool = False) -> DataFrame:
     """count, mean, median, std of the amount per outcome (E5)."""
     lab = labelled_history(alerts, history)
     stats = lab.groupBy(LABEL).agg(F.count(AMOUNT).alias("count"), F.avg(AMOUNT).alias("mean"),
                                    F.stddev_samp(AMOUNT).alias("std"))
-    med = exact_quantiles(lab.select(LABEL, AMOUNT), [LABEL], AMOUNT, [("median", 0.5)])
+    med = _quantiles(lab.select(LABEL, AMOUNT), [LABEL], AMOUNT, [("median", 0.5)], sketch)
     return (stats.join(med, LABEL, "left")
             .select(outcome_name(F.col(LABEL)).alias("outcome"), "count", "mean", "median", "std"))
 
@@ -90,7 +97,7 @@ def volume_by_outcome(alerts: DataFrame, history: DataFrame) -> DataFrame:
                  .agg(F.count(F.lit(1)).cast("double").alias("n")))
     stats = per_alert.groupBy(LABEL).agg(F.avg("n").alias("mean"), F.min("n").alias("min"),
                                          F.max("n").alias("max"))
-    med = exact_quantiles(per_alert, [LABEL], "n", [("median", 0.5)])
+    med = radix_quantiles(per_alert, [LABEL], "n", [("median", 0.5)])
     return (stats.join(med, LABEL, "left")
             .select(outcome_name(F.col(LABEL)).alias("outcome"), "mean", "median", "min", "max"))
 
@@ -139,31 +146,54 @@ def headline(alerts: DataFrame, history: DataFrame) -> DataFrame:
         "first_alert_date", "last_alert_date")
 
 
-def history_profile(history: DataFrame, column: str = "days_before") -> DataFrame:
+def history_profile(history: DataFrame, column: str = "days_before", sketch: bool = False) -> DataFrame:
     """``describe()`` of one column: count, mean, std, min, quartiles, max."""
     stats = history.agg(F.count(column).alias("count"), F.avg(column).alias("mean"),
                         F.stddev_samp(column).alias("std"), F.min(column).alias("min"),
                         F.max(column).alias("max")).withColumn("_all", F.lit(0))
-    qs = exact_quantiles(history.select(F.lit(0).alias("_all"), column), ["_all"], column,
-                         [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)])
+    qs = _quantiles(history.select(F.lit(0).alias("_all"), column), ["_all"], column,
+                    [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)], sketch)
     return stats.join(qs, "_all", "left").select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+def daily_sketches(history: DataFrame, columns: Sequence[str] = (AMOUNT, "days_before")) -> DataFrame:
+    """The stored form of approximate E5 and E13: a sketch per outcome, column and day."""
+    long = history.select(LABEL, "tx_date", *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [LABEL, "tx_date"], list(columns), "column", "value")
+    return sketch_state(long, [LABEL, "column", "tx_date"], "value")
+
+
+def sketch_check(history: DataFrame, states: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Whether the quantiles of stored daily sketches, merged over all days, have their exact ranks within the bound.
+
+    A value's rank is right if the share of smaller values and the share of
+    values up to it have the wanted share between them, give or take the bound."""
+    columns = [r["column"] for r in states.select("column").distinct().collect()]
+    merged = sketch_quantiles(merge_sketches(states, [LABEL, "column"]), [LABEL, "column"], [(f"q{i}", p) for i, p in enumerate(probs)])
+    wanted = merged.select(LABEL, "column", "n_values", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("p"), F.col(f"q{i}").alias("estimate")) for i, p in enumerate(probs)])))
+    long = history.select(LABEL, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot([LABEL], columns, "column", "value")
+    ranks = long.join(wanted, [LABEL, "column"]).groupBy(LABEL, "column", "p", "n_values").agg(
+        F.count_if(F.col("value") < F.col("estimate")).alias("below"), F.count_if(F.col("value") <= F.col("estimate")).alias("upto"))
+    slack = SKETCH_RANK_ERROR * F.col("n_values") + 1
+    inside = (F.col("below") - slack <= F.col("p") * F.col("n_values")) & (F.col("upto") + slack >= F.col("p") * F.col("n_values"))
+    return ranks.select(outcome_name(F.col(LABEL)).alias("outcome"), "column", "p", "n_values", inside.alias("within_bound"))
+
+
 def publish_guard(tables: dict[str, DataFrame], ids: DataFrame, id_columns: Sequence[str] = (ALERT_ID,),
                   max_rows: int = 5000) -> DataFrame:
     """Published tables hold no raw ids and fewer than ``max_rows`` rows.
 
     Ids must appear neither as a column nor as a value of a text column
-    (``ids`` has one column of them).  ``rows_seen`` stops at ``max_rows + 1``:
-    a table is read no further than that."""
+    (``ids`` has one column of them); whole tables are searched for them.
+    ``rows_seen`` stops at ``max_rows + 1``: more is not counted."""
     spark = ids.sparkSession
     known = ids.select(F.col(ids.columns[0]).cast("string").alias("_id"))
     rows = []
     for name, df in tables.items():
-        head = df.limit(max_rows + 1)
-        n = head.count()
+        n = df.limit(max_rows + 1).count()
         texts = [c for c, kind in df.dtypes if kind == "string"]
-        cells = head.select(F.explode(F.array(*texts)).alias("_id")) if texts else None
+        cells = df.select(F.explode(F.array(*texts)).alias("_id")).distinct() if texts else None
         leaks = cells is not None and not cells.join(known, "_id", "left_semi").isEmpty()
         rows.append((name, int(n), n < max_rows, not any(c in df.columns for c in id_columns), not leaks))
     return spark.createDataFrame(rows, "table string, rows_seen long, small boolean, no_raw_ids boolean, no_id_values boolean")

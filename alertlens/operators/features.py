@@ -1,16 +1,22 @@
 """The nine feature families and ``build_features``.
 
-Design: every algebraic statistic of every family is one aggregate
-expression in a single ``groupBy(alert_id)`` over the prepared history, so
-Spark runs partial (map-side) aggregation and one shuffle for all of them --
-a hot alert is pre-reduced on every mapper.  Aggregation buffers are kept
-lean (means are sum / count of buffers that exist anyway, shares are sums
-over the row count, identical aggregates are shared by Catalyst) so the whole
-feature set stays under the whole-stage-codegen field limit.  The few order-dependent
-statistics (exact quantiles of amounts and gaps, gaps between consecutive
-transactions) come from ``ordered_scan``, which splits hot alerts across
-tasks.  Distinct counts are two-level aggregations.  Per-alert frames are
-joined to the de-duplicated alert index (one row each, left join), and the
+Design: one scan of the history and one aggregation per alert.  Every
+statistic of every family is an aggregate expression in a single
+``groupBy(alert_id)``.  Families without an order (base, direction_type, cross,
+flow, windows, hour) are pre-reduced on every mapper.  Gaps between consecutive
+transactions need the rows of an alert together and in time order: the history
+is exchanged by alert once, the lag, the exact percentiles and all other
+aggregates follow in the same stage.
+
+That holds the rows of an alert in one task, which is right for all but hot
+alerts.  Alerts of over ``HOT_ROWS`` rows are found first by a count and take the
+distributed way instead: ``ordered_scan`` and ``exact_quantiles`` range-partition
+them, so that one alert never has to fit one task.  Both ways give the same
+columns and are united; nothing is dropped or capped.
+
+Aggregation buffers are kept lean (means are sum / count of buffers that exist
+anyway, shares are sums over the row count, identical aggregates are shared by
+Catalyst).  The per-alert frame is joined to the de-duplicated alert index, and the
 null contract is applied last:
 
 * count-like columns are 0 when nothing matched;
@@ -23,17 +29,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (MICROS_PER_HOUR, bias_corrected_kurt, bias_corrected_skew,
                                  epoch_micros, flag, safe_div)
 from ..schema import (ALERT_DATE, ALERT_ID, AMOUNT, AMOUNT_QUANTILES, BIG_AMOUNT, DIRECTION,
                       DIRECTIONS, FAMILIES, TX_TS, TX_TYPE, TX_TYPES, WINDOWS, is_count_column)
+from ..session import ensure_checkpoint_dir
 from .ordered import exact_quantiles, ordered_scan
 from .prepare import dedup_alerts
 
 N = "_n"          # rows per alert (all rows, also those with NULL amount)
+#: an alert with more rows is spread over tasks where its rows are needed in order
+HOT_ROWS = 250_000
+GAP_QUANTILES = (("burst_gap_med", 0.5), ("burst_gap_q90", 0.9))
 
 
 def _ad() -> tuple[Column, Column]:
@@ -210,53 +220,68 @@ def gap_history(history: DataFrame) -> DataFrame:
     return scanned.select(ALERT_ID, ((F.col("_ts_us") - F.col("_prev")) / MICROS_PER_HOUR).alias("gap"))
 
 
-def _ordered_frames(history: DataFrame, want_amount: bool, want_burst: bool) -> list[DataFrame]:
+def hot_alerts(history: DataFrame, hot_rows: int) -> DataFrame | None:
+    """Ids of the alerts of more than ``hot_rows`` rows; None if there is none."""
+    ensure_checkpoint_dir(history.sparkSession)
+    ids = (history.groupBy(ALERT_ID).agg(F.count(F.lit(1)).alias(N)).where(F.col(N) > hot_rows)
+           .select(ALERT_ID).checkpoint())
+    return None if ids.isEmpty() else ids
+
+
+def _day_aggs(names: Sequence[str]) -> list[Column]:
+    """Distinct days and weekdays; a calendar bounds the sets."""
+    if "hour" not in names:
+        return []
+    return [F.size(F.collect_set("tx_date")).cast("long").alias("hour_active_days"),
+            F.size(F.collect_set("dow")).cast("long").alias("hour_dow_nuniq")]
+
+
+def _gap_aggs() -> list[Column]:
+    return [F.avg("gap").alias("burst_gap_mean"), F.stddev_samp("gap").alias("burst_gap_std"),
+            F.min("gap").alias("burst_gap_min"), F.avg(flag(F.col("gap") < 1)).alias("burst_under_1h")]
+
+
+def _in_one_task(history: DataFrame, aggs: Sequence[Column], names: Sequence[str]) -> DataFrame:
+    """All aggregates per alert, the rows of an alert being in one task."""
     A, _ = _ad()
-    frames = []
-    long_parts = []
-    gaps = None
-    if want_amount:
-        long_parts.append(history.select(ALERT_ID, F.lit("amount").alias("_stat"),
-                                         A.alias("_v")))
-    if want_burst:
-        gaps = gap_history(history)
-        long_parts.append(gaps.select(ALERT_ID, F.lit("gap").alias("_stat"),
-                                      F.col("gap").alias("_v")))
-        frames.append(gaps.groupBy(ALERT_ID).agg(
-            F.avg("gap").alias("burst_gap_mean"), F.stddev_samp("gap").alias("burst_gap_std"),
-            F.min("gap").alias("burst_gap_min"),
-            F.avg(flag(F.col("gap") < 1)).alias("burst_under_1h")))
-    if long_parts:
-        long = long_parts[0]
-        for p in long_parts[1:]:
-            long = long.unionByName(p)
-        probs = [(f"_p{int(round(q * 100))}", q) for _, q in AMOUNT_QUANTILES]
-        qs = exact_quantiles(long, [ALERT_ID, "_stat"], "_v", probs)
-        by_name = dict(probs)
-        pivot = []
-        if want_amount:
-            for name, q in AMOUNT_QUANTILES:
-                p = f"_p{int(round(q * 100))}"
-                pivot.append(F.max(F.when(F.col("_stat") == "amount", F.col(p))).alias(name))
-            # distinct non-NULL amounts fall out of the (alert, value) pre-aggregation
-            pivot.append(F.max(F.when(F.col("_stat") == "amount", F.col("n_distinct"))).alias("_amt_nuniq"))
-        if want_burst:
-            pivot += [F.max(F.when(F.col("_stat") == "gap", F.col("_p50"))).alias("burst_gap_med"),
-                      F.max(F.when(F.col("_stat") == "gap", F.col("_p90"))).alias("burst_gap_q90")]
-        assert by_name
-        frames.append(qs.groupBy(ALERT_ID).agg(*pivot))
-    return frames
-
-
-def _distinct_frames(history: DataFrame, want_amount: bool, want_hour: bool) -> list[DataFrame]:
+    aggs, pick = [*aggs, *_day_aggs(names)], {}
+    if "burst" in names:
+        in_time = Window.partitionBy(ALERT_ID).orderBy("_ts_us")
+        history = history.withColumn("_ts_us", epoch_micros(TX_TS)).withColumn(
+            "gap", (F.col("_ts_us") - F.lag("_ts_us").over(in_time)) / MICROS_PER_HOUR)
+        aggs += [*_gap_aggs(), F.percentile("gap", [q for _, q in GAP_QUANTILES]).alias("_gap_q")]
+        pick |= {name: F.col("_gap_q")[i] for i, (name, _) in enumerate(GAP_QUANTILES)}
+    if "amount_shape" in names:
+        aggs += [F.percentile(A, [q for _, q in AMOUNT_QUANTILES]).alias("_amt_q"),
+                 F.size(F.collect_set(A + F.lit(0.0))).cast("long").alias("_amt_nuniq")]
+        pick |= {name: F.col("_amt_q")[i] for i, (name, _) in enumerate(AMOUNT_QUANTILES)}
+    return history.groupBy(ALERT_ID).agg(*aggs).withColumns(pick).drop("_gap_q", "_amt_q")
+
+
+def _spread(history: DataFrame, aggs: Sequence[Column], names: Sequence[str]) -> DataFrame:
+    """The same columns of hot alerts, with their rows spread over tasks."""
     A, _ = _ad()
-    frames = []
-    if want_hour:
-        days = history.groupBy(ALERT_ID, "tx_date").agg(F.min("dow").alias("dow"))
-        frames.append(days.groupBy(ALERT_ID).agg(
-            F.count(F.lit(1)).alias("hour_active_days"),
-            F.size(F.collect_set("dow")).cast("long").alias("hour_dow_nuniq")))
-    return frames
+    frame = history.groupBy(ALERT_ID).agg(*aggs, *_day_aggs(names))
+    if "burst" in names:
+        gaps = gap_history(history)
+        quantiles = exact_quantiles(gaps, [ALERT_ID], "gap", GAP_QUANTILES).drop("n_values", "n_distinct")
+        frame = frame.join(gaps.groupBy(ALERT_ID).agg(*_gap_aggs()), ALERT_ID, "left").join(quantiles, ALERT_ID, "left")
+    if "amount_shape" in names:
+        # distinct amounts fall out of the (alert, value) pre-aggregation
+        quantiles = exact_quantiles(history.select(ALERT_ID, A), [ALERT_ID], AMOUNT, AMOUNT_QUANTILES)
+        frame = frame.join(quantiles.withColumnRenamed("n_distinct", "_amt_nuniq").drop("n_values"), ALERT_ID, "left")
+        frame = frame.withColumn("_amt_nuniq", F.coalesce("_amt_nuniq", F.lit(0)).cast("long"))
+    return frame
+
+
+def per_alert(history: DataFrame, names: Sequence[str], aggs: Sequence[Column], hot_rows: int) -> DataFrame:
+    """One row per alert with transactions: the aggregates of all families asked for."""
+    in_order = {"burst", "amount_shape"} & set(names)
+    hot = hot_alerts(history, hot_rows) if in_order else None
+    if hot is None:
+        return _in_one_task(history, aggs, names)
+    return _in_one_task(history.join(hot, ALERT_ID, "left_anti"), aggs, names).unionByName(
+        _spread(history.join(hot, ALERT_ID, "left_semi"), aggs, names))
 
 
 def signal_date_frame(index: DataFrame, reference: DataFrame | None = None) -> DataFrame:
@@ -275,7 +300,7 @@ def signal_date_frame(index: DataFrame, reference: DataFrame | None = None) -> D
 
 def build_features(history: DataFrame, alerts: DataFrame,
                    families: Sequence[str] | None = None,
-                   reference: DataFrame | None = None) -> DataFrame:
+                   reference: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per unique alert id: ``alert_id`` + the families' columns."""
     names = list(families) if families is not None else list(FAMILIES)
     unknown = set(names) - set(FAMILY_BUILDERS)
@@ -285,10 +310,7 @@ def build_features(history: DataFrame, alerts: DataFrame,
     built = {n: FAMILY_BUILDERS[n]() for n in names}
     aggs = [F.count(F.lit(1)).alias(N)] + [a for n in names for a in built[n][0]]
 
-    frame = index.select(ALERT_ID).join(history.groupBy(ALERT_ID).agg(*aggs), ALERT_ID, "left")
-    for extra in (_ordered_frames(history, "amount_shape" in names, "burst" in names)
-                  + _distinct_frames(history, "amount_shape" in names, "hour" in names)):
-        frame = frame.join(extra, ALERT_ID, "left")
+    frame = index.select(ALERT_ID).join(per_alert(history, names, aggs, hot_rows), ALERT_ID, "left")
     if "signal_date" in names:
         frame = frame.join(signal_date_frame(index, reference), ALERT_ID, "left")
 

@@ -1,9 +1,8 @@
 """Median imputer: fit on one frame, apply to many; an all-NULL column -> 0 (M3).
 
 The medians are exact (linear interpolation, like the reference's imputer):
-the feature columns are unpivoted into ``(column, value)`` and ranked with
-``exact_quantiles`` keyed by column, so one column's values are spread over
-many tasks.  The fitted surrogates are one number per column -- the only
+the feature columns are unpivoted into ``(column, value)`` and narrowed down
+with ``radix_quantiles`` keyed by column, without sorting or exchanging them.  The fitted surrogates are one number per column -- the only
 thing brought to the driver, as Spark ML's own ``Imputer`` does.
 """
 from __future__ import annotations
@@ -13,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import exact_quantiles
+from .quantiles import radix_quantiles
 
 
 def long_format(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
@@ -22,7 +21,7 @@ def long_format(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ())
 
 
 def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    med = exact_quantiles(long_format(df, columns), ["column"], "value", [("median", 0.5)])
+    med = radix_quantiles(long_format(df, columns), ["column"], "value", [("median", 0.5)])
     found = {r["column"]: r["median"] for r in med.collect()}
     return {c: float(found[c]) if found.get(c) is not None else 0.0 for c in columns}
 

@@ -23,6 +23,15 @@ def dedup_alerts(alerts: DataFrame) -> DataFrame:
     return picked.select(ALERT_ID, *[F.col(f"_first.{c}").alias(c) for c in rest])
 
 
+def not_after_last_alert(tx: DataFrame, alerts: DataFrame) -> DataFrame:
+    """Transactions up to the last alert date: no later one is before its alert.
+
+    The date is a scalar subquery, so it is known before the scan starts and
+    skips row groups and files there; Spark adds a Bloom filter of the alert ids
+    itself where the join is shuffled and the transactions are large."""
+    return tx.where(F.col(TX_TS) <= alerts.agg(F.max(ALERT_DATE)).scalar())
+
+
 def prepare(tx: DataFrame, alerts: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Transactions joined to their (unique) alert, at or before the alert date.
 
@@ -37,7 +46,7 @@ def prepare(tx: DataFrame, alerts: DataFrame, carry: Sequence[str] = ()) -> Data
     of hot alerts) otherwise.
     """
     keyed = dedup_alerts(alerts).select(ALERT_ID, ALERT_DATE, *carry)
-    joined = tx.join(keyed, ALERT_ID, "inner")
+    joined = not_after_last_alert(tx, alerts).join(keyed, ALERT_ID, "inner")
     days = days_between(F.col(TX_TS), F.col(ALERT_DATE))
     hour = F.hour(TX_TS)
     return (joined.withColumn("days_before", days)

@@ -17,7 +17,7 @@ from ..operators import blend, check, eda, folds, impute, rank
 from ..operators import features as feat
 from ..operators import prepare as prep
 from ..schema import ALERT_ID, FAMILIES, LABEL, SPLIT
-from ..session import split_hot_alerts
+from ..session import split_hot_alerts, written_once
 from . import integrity
 from . import scoring as sc
 from ..sources import driver_tables as dt
@@ -163,6 +163,15 @@ QUERIES["history_profile"] = lambda spark, sf_dir: normalise(
     eda.history_profile(_train_inputs(spark, sf_dir).train_history))
 
 
+def _history_sketch(spark, sf_dir):
+    """Daily sketches written as a table, read back and merged (E5, E13 approximate)."""
+    h = _train_inputs(spark, sf_dir).train_history
+    return normalise(eda.sketch_check(h, written_once(eda.daily_sketches(h))))
+
+
+QUERIES["history_sketch"] = _history_sketch
+
+
 # ------------------------------------- steps 5-6: ranks, folds, blends, checks
 
 def _q(fn):

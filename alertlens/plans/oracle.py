@@ -274,6 +274,11 @@ SELECT {OUTCOME_SQL} AS outcome, count(amount) AS count, {d('avg(amount)')} AS m
        {d('quantile_cont(amount, 0.5)')} AS median, {d('stddev_samp(amount)')} AS std
 FROM th GROUP BY label"""
 
+ORACLE["history_sketch"] = with_ctes(*TRAIN_CTES, """
+lc AS (SELECT label, 'amount' AS c, amount AS v FROM th UNION ALL SELECT label, 'days_before', days_before FROM th)""") + f"""
+SELECT {OUTCOME_SQL} AS outcome, c AS "column", {d('p')} AS p, count(v) AS n_values, TRUE AS within_bound
+FROM lc, (SELECT unnest([0.25, 0.5, 0.75]) AS p) GROUP BY label, c, p"""
+
 ORACLE["eda_volume_by_outcome"] = with_ctes(*TRAIN_CTES, """
 pa AS (SELECT alert_id, label, count(*) AS n FROM th GROUP BY alert_id, label)""") + f"""
 SELECT {OUTCOME_SQL} AS outcome, {d('avg(n)')} AS mean, {d('quantile_cont(n, 0.5)')} AS median,

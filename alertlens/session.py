@@ -10,7 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,3 +64,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "(HDFS/object store) before running ordered operators on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="alertlens-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` written as a table below the checkpoint folder and read back.
+
+    Like ``checkpoint()`` it cuts the lineage and survives lost executors; the
+    rows are computed once, stored by column and read with column pruning."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/rows-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
