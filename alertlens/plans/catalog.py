@@ -18,7 +18,7 @@ from ..operators import features as feat
 from ..operators import prepare as prep
 from ..schema import ALERT_ID, FAMILIES, LABEL, SPLIT
 from ..session import split_hot_alerts, written_once
-from . import integrity
+from . import ablation, integrity
 from . import scoring as sc
 from ..sources import driver_tables as dt
 
@@ -320,20 +320,35 @@ def _family_history(i):
 
 
 def _ablation_rounds(i):
-    """Per-family round number (W2) and the first-round leaderboard."""
-    from pyspark.sql import Window
+    """Per-family round number (W2) and what became of each offer."""
     h = _family_history(i)
-    w = Window.partitionBy("family").orderBy("round")
-    return h.withColumn("family_round", F.row_number().over(w)).withColumn(
-        "verdict", F.when(F.col("accepted"), F.lit("kept")).otherwise(F.lit("rejected")))
+    return ablation.numbered(h).withColumn("verdict", F.when(F.col("accepted"), F.lit("kept")).otherwise(F.lit("rejected")))
 
 
 def _ablation_verdict(i):
-    """Families at or below chance, families tried minus kept."""
-    h = _family_history(i)
-    return h.agg(F.count_distinct(F.when(F.col("score") <= 0.5, F.col("family"))).alias("chance_families"),
-                 (F.count_distinct("family") - F.count_distinct(F.when(F.col("accepted"), F.col("family"))))
-                 .alias("rejected_families"))
+    return ablation.verdict(_family_history(i))
+
+
+def _standin_trace(i):
+    """A trace without a model: in round r a family scores the ROC-AUC of its r-th column, the best one is accepted."""
+    columns = {(r, f): feat.family_columns(f)[r - 1] for r in range(1, sc.TRACE_ROUNDS + 1) for f in FAMILIES}
+    long = impute.long_format(sc.train_frame(i), list(columns.values()), [ALERT_ID, LABEL])
+    aucs = rank.grouped_auc(long, ["column"], "value", LABEL)
+    offers = i.spark.createDataFrame([(r, f, r, c) for (r, f), c in columns.items()], "round int, family string, n_columns int, column string")
+    from pyspark.sql import Window
+    best = Window.partitionBy("round").orderBy(F.desc("score"), "family")
+    return (offers.join(aucs, "column").withColumn("score", F.round("auc", 9))
+            .select("round", "family", "n_columns", F.col("score").alias("mean"), F.lit(0.0).alias("std"), "score",
+                    (F.row_number().over(best) == 1).alias("accepted")))
+
+
+def _expected_ids(i):
+    """Requested ids read back from the files of a sample, with their place in them."""
+    from ..sources.readers import read_expected_ids
+    out = _out_dir(i, "ids")
+    i.test.select(F.col(ALERT_ID).cast("string").alias(ALERT_ID), F.md5(F.col(ALERT_ID).cast("string")).alias("_o")).repartitionByRange(
+        "_o").sortWithinPartitions("_o").select(ALERT_ID).write.option("header", True).csv(out)
+    return read_expected_ids(i.spark, out, id_column=ALERT_ID)
 
 
 def _rank_columns(i):
@@ -420,14 +435,14 @@ def _out_dir(i, name):
 
 
 def _run_log(i):
-    from ..sources.sinks import LOG_SCHEMA, log_run
+    from ..sources.sinks import log_run, read_log
     from .cv import evaluate
     from .models import make_factory
     res = evaluate(make_factory("logreg"), _train_raw(i), REFERENCE_FAMILY_SET)
     out = _out_dir(i, "log")
     log_run(i.spark, out, mean=res.mean, std=res.std, families=["direction_type", "base"],
             n_columns=len(REFERENCE_FAMILY_SET), model="logreg", params={"C": 0.1})
-    return i.spark.read.schema(LOG_SCHEMA).option("header", True).csv(out)
+    return read_log(i.spark, out)
 
 
 def _score_and_write(i):
@@ -436,7 +451,7 @@ def _score_and_write(i):
     drift = predict_and_write(i.spark, _train_raw(i), _test_raw(i), i.test.select(ALERT_ID),
                               REFERENCE_FAMILY_SET, {"logreg": 1.0}, {"logreg": None}, out)
     kind = dict(i.test.dtypes)[ALERT_ID]
-    written = i.spark.read.schema(f"{ALERT_ID} {kind}, score double").option("header", True).csv(f"{out}/result")
+    written = check.read_result(i.spark, f"{out}/result", f"{ALERT_ID} {kind}, score double")
     return written.withColumn("adversarial_auc", F.lit(drift["adversarial_auc"]))
 
 
@@ -448,6 +463,10 @@ for _name, _fn in {
     "bagged_scores": _bagged_scores, "tune_trials": _tune_trials,
     "holdout_estimate": _holdout_estimate, "permutation_null": _permutation_null,
     "file_audit": _file_audit, "publish_guard": _publish_guard,
-    "run_log": _run_log, "score_and_write": _score_and_write,
+    "run_log": _run_log, "score_and_write": _score_and_write, "expected_ids": _expected_ids,
+    "trace_rounds": lambda i: ablation.numbered(_standin_trace(i)),
+    "trace_first_round": lambda i: ablation.first_round(_standin_trace(i)),
+    "trace_ablation": lambda i: ablation.ablation(_standin_trace(i)),
+    "trace_verdict": lambda i: ablation.verdict(_standin_trace(i)),
 }.items():
     QUERIES[_name] = _q(_fn)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from ..operators.features import family_columns
 from ..schema import DIRECTIONS, FAMILIES, TX_TYPES, WINDOWS, is_count_column
+from .scoring import TRACE_ROUNDS
 
 R = 6
 
@@ -548,3 +549,34 @@ FROM eo LEFT JOIN ts ON eo.alert_id = ts.alert_id"""
 ORACLE["top_columns"] = with_ctes(*M, _long_cte(), auc_cte("ac", "lg", ['"column"'], '"value"'), """
 rk AS (SELECT "column", auc, row_number() OVER (ORDER BY round(auc, 9) DESC, "column" ASC) AS rn FROM ac)""") + f"""
 SELECT "column", {d('auc')} AS auc, CAST(rn AS BIGINT) AS rank FROM rk WHERE rn <= 10"""
+
+
+def _trace_ctes() -> list[str]:
+    offers = [(r, f, family_columns(f)[r - 1]) for r in range(1, TRACE_ROUNDS + 1) for f in FAMILIES]
+    listed = ", ".join(f"({r}, '{f}', '{c}')" for r, f, c in offers)
+    return [_long_cte(), auc_cte("ac", "lg", ['"column"'], '"value"'), f"""
+offer AS (SELECT * FROM (VALUES {listed}) AS v(round, family, "column")),
+trace AS (SELECT round, family, round AS n_columns, round(auc, 9) AS score,
+                 row_number() OVER (PARTITION BY round ORDER BY round(auc, 9) DESC, family) = 1 AS accepted
+          FROM offer JOIN ac USING ("column"))"""]
+
+
+ORACLE["trace_rounds"] = with_ctes(*M, *_trace_ctes()) + f"""
+SELECT {b('round')} AS round, family, {b('n_columns')} AS n_columns, {d('score')} AS mean, {d('0.0')} AS std, {d('score')} AS score,
+       accepted, row_number() OVER (PARTITION BY family ORDER BY round) AS family_round FROM trace"""
+
+ORACLE["trace_first_round"] = with_ctes(*M, *_trace_ctes()) + f"""
+SELECT row_number() OVER (ORDER BY score DESC, family) AS place, family, {b('n_columns')} AS n_columns, {d('score')} AS mean,
+       {d('score')} AS score FROM trace WHERE round = 1"""
+
+ORACLE["trace_ablation"] = with_ctes(*M, *_trace_ctes()) + f"""
+SELECT {b('round')} AS round, family, {b('n_columns')} AS n_columns, {d('score')} AS mean,
+       CASE WHEN accepted THEN 'kept' ELSE 'rejected' END AS verdict FROM trace"""
+
+ORACLE["trace_verdict"] = with_ctes(*M, *_trace_ctes()) + """
+SELECT count(DISTINCT family) FILTER (WHERE score <= 0.5) AS chance_families,
+       count(DISTINCT family) - count(DISTINCT family) FILTER (WHERE accepted) AS rejected_families FROM trace"""
+
+ORACLE["expected_ids"] = with_ctes() + """
+SELECT CAST(alert_id AS VARCHAR) AS alert_id, row_number() OVER (ORDER BY md5(CAST(alert_id AS VARCHAR))) AS ordinal
+FROM alerts WHERE split = 'test'"""

@@ -24,6 +24,7 @@ GRID_MODELS = STANDIN_MODELS[:3]
 N_REPEATS = 4
 N_PERMUTATIONS = 5
 TOP_K = 10
+TRACE_ROUNDS = 3
 # ---------------------------------------------------------------------------
 
 
