@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alertlens.llm.bloom_cascade import BITS_PER_KEY, MAX_FILTER_BYTES, BloomFilter
-from alertlens.llm.common import materialize
+from alertlens.llm.common import materialize, renamed, restored
 from alertlens.llm.components import components
 from alertlens.llm.wordhash import text_shingles
 
@@ -343,11 +343,13 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, in
 def one_of_each_group(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """The rows of documents without all but the first (smallest doc_id) of each group.
 
-    Rows that repeat an id stay or go together; rows without an id stay.
+    Rows that repeat an id stay or go together; rows without an id stay.  Other
+    columns may have any names.
     """
     found = (similar_groups(docs, width, threshold).filter(F.col("doc_id") != F.col("component_id"))
              .select(F.col("doc_id").alias("g_copy")).distinct())
-    return docs.join(found, F.col("doc_id") == F.col("g_copy"), "left_anti")
+    rows, names = renamed(docs, "doc_id")
+    return rows.join(found, F.col("doc_id") == F.col("g_copy"), "left_anti").select(*restored(names))
 
 
 ORACLE = r"""

@@ -72,3 +72,16 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def renamed(docs: DataFrame, *needed: str) -> tuple[DataFrame, dict[str, str]]:
+    """The rows under generated names, beside the columns needed under their own, and {column: generated name}.
+
+    Joins may then add columns of any name without a clash; `restored` undoes it."""
+    names = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], *[F.col(c) for c in needed]), names
+
+
+def restored(names: dict[str, str], **replaced: Column) -> list[Column]:
+    """The columns under their own names again, some with new values."""
+    return [replaced.get(c, F.col(n)).alias(c) for c, n in names.items()]

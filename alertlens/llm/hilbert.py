@@ -126,9 +126,14 @@ def shard(docs: DataFrame, n_shards: int = SHARDS, bits: int = BITS) -> DataFram
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = SHARDS, bits: int = BITS) -> None:
-    """Write the documents below path/shard=N, each file a run of the curve."""
+    """Write the documents below path/shard=N, each file a run of the curve.
+
+    Rows that share an id (or have none) go to one place, as their id is what
+    they are found by.  Input columns named curve, shard or slot are written as
+    in_curve, in_shard and in_slot.
+    """
     placed = shard(docs, n_shards, bits).select(F.col("doc_id").alias("s_id"), "curve", "shard", "slot").dropDuplicates(["s_id"])
-    cols = [c for c in docs.columns if c not in ("curve", "shard", "slot")]
+    cols = [F.col(f"`{c}`").alias(f"in_{c}" if c in ("curve", "shard", "slot", "s_id") else c) for c in docs.columns]
     (docs.select(cols).join(placed, F.col("doc_id").eqNullSafe(F.col("s_id"))).drop("s_id")
      .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").mode("errorifexists").parquet(path))

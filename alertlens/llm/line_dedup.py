@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertlens.llm.bloom_cascade import BITS_PER_KEY, MAX_FILTER_BYTES, BloomFilter
-from alertlens.llm.common import WORD, materialize
+from alertlens.llm.common import WORD, materialize, renamed, restored
 
 THRESHOLD = 1
 #: shorter lines, in code points, are not searched for edits
@@ -239,7 +239,8 @@ def line_report(docs: DataFrame, threshold: int = THRESHOLD, short: bool = False
 
 
 def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, short: bool = False) -> DataFrame:
-    """The rows of documents, their texts without the dropped lines and other columns as they were."""
+    """The rows of documents, their texts without the dropped lines and other columns, whatever their names, as they were."""
+    rows, names = renamed(docs, "doc_id", "text")
     kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("d_dropped"), i))
     text = F.when(F.size("d_dropped") > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    return _told(docs, threshold, short).select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    return _told(rows, threshold, short).select(*restored(names, text=text))

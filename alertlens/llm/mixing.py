@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertlens.llm.common import hex_bucket, id_hash, materialize, word_count
+from alertlens.llm.common import hex_bucket, id_hash, materialize, renamed, restored, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -134,13 +134,15 @@ def mixed(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> D
     """The rows of documents as often as the mix serves them, none for 0.
 
     Rows that repeat an id and text each come the rounded-up mean of their
-    numbers of times.
+    numbers of times.  Other columns may have any names.
     """
     row = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("m_hash"))
     served = (mix(row, weights=weights, max_repeats=max_repeats, keep=("m_hash",))
               .groupBy(F.col("doc_id").alias("m_id"), "m_hash").agg(F.ceil(F.avg("times")).cast("int").alias("m_times")).filter("m_times > 0"))
-    joined = docs.join(served, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.xxhash64("text") == F.col("m_hash")))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("m_times"))).alias("m_copy")).drop("m_copy")
+    rows, names = renamed(docs, "doc_id", "text")
+    joined = rows.join(served, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.xxhash64("text") == F.col("m_hash")))
+    copies = joined.select(*names.values(), F.explode(F.sequence(F.lit(1), F.col("m_times"))).alias("m_copy"))
+    return copies.select(*restored(names))
 
 
 ORACLE = r"""
