@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written_once
@@ -81,15 +81,14 @@ def radix_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
             counts = _counts(part, inside, shift)
             held = targets.join(counts.withColumn("_end", F.sum("_rows").over(Window.partitionBy(*inside).orderBy("_prefix"))), inside)
         start = F.col("_end") - F.col("_rows")
-        seen = Observation()
         held = (held.where((F.col("_rank") >= start) & (F.col("_rank") < F.col("_end")))
                 .select(*keys, "_n", "_name", "_side", (F.col("_rank") - start).alias("_rank"),
-                        F.col("_prefix").alias("_parent"), "_rows", "_lo", "_hi")
-                .observe(seen, F.max(F.when(F.col("_lo") != F.col("_hi"), F.col("_rows"))).alias("most")).checkpoint())
+                        F.col("_prefix").alias("_parent"), "_rows", "_lo", "_hi").checkpoint())
         found.append(held.where(F.col("_lo") == F.col("_hi")).select(*keys, "_n", "_name", "_side", "_lo"))
-        targets = held.where(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi", "_rows")
+        still = held.where(F.col("_lo") != F.col("_hi"))
+        targets = still.drop("_lo", "_hi", "_rows")
         # a bucket of few rows has few values: count them all at once
-        parent, most = shift, seen.get["most"]
+        parent, most = shift, still.agg(F.max("_rows")).first()[0]
         shift = None if most is None else 0 if most <= 1 << DIGIT else max(shift - DIGIT, 0)
     at = [F.max(F.when((F.col("_name") == name) & (F.col("_side") == side), F.col("_lo"))).alias(f"_{side}_{name}")
           for name, _ in probs for side in (0, 1)]
