@@ -1,10 +1,12 @@
 """Removal of repeated and nearly repeated lines, in DataFrame functions only.
 
-Lines within a threshold of t edits share one of t + 1 segments of the shorter
-one.  Segments are indexed by length and number; a line probes the index of
-its own and of slightly smaller lengths with the substrings that an alignment
-of at most t edits allows.  Candidates are verified by the banded bit-parallel
-edit distance on what lies between their common first and last words.
+The edits t that a pair may differ by grow with the shorter line: one for each
+MIN_CHARS characters, up to a threshold.  Lines within t edits share one of
+t + 1 segments of the shorter one.  Segments are indexed by length and number;
+a line probes the index of its own and of slightly smaller lengths with the
+substrings that an alignment of at most t edits allows.  Candidates are verified
+by the banded bit-parallel edit distance on what lies between their common first
+and last words.
 
 Only 64-bit hashes of segments and lines are shuffled; the texts of candidate
 lines are fetched through a Bloom filter of bounded size.
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 from alertlens.llm.bloom_cascade import BITS_PER_KEY, MAX_FILTER_BYTES, BloomFilter
 from alertlens.llm.common import WORD, materialize, renamed, restored
 
-THRESHOLD = 1
-#: shorter lines, in code points, are not searched for edits
+#: most edits between two lines of any length
+THRESHOLD = 2
+#: code points of the shorter line for each edit; lines of fewer have none
 MIN_CHARS = 24
 LAST = 0x7FFFFFFFFFFFFFFF
 
@@ -48,43 +51,60 @@ def _rest(size: Column, i: int, first: Column, length: Column, at: Column, index
     return [begin, left, end - (own - left), own - left]
 
 
+def edits_allowed(size: Column, threshold: int) -> Column:
+    """The edits by which a line may differ from a longer one."""
+    return F.least(_div(size, MIN_CHARS), F.lit(threshold))
+
+
+def _word_bits(line: Column) -> Column:
+    """64 bits, each the parity of the words that hash to it; an edit turns at most three."""
+    return F.aggregate(F.split(line, " "), F.lit(0).cast("long"),
+                       lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(word).bitwiseAND(F.lit(63)).cast("int"))))
+
+
 def segment_entries(lines: DataFrame, threshold: int) -> DataFrame:
-    """(key, a, rest, indexed): index entries of each line, and those with which it only probes.
+    """(key, a, rest, role): index entries of each line, and those with which it only probes.
 
+    `role` is the number of edits of the indexed length, negative in entries that
+    only probe.  `rest` tells candidates apart before they are fetched: hashes of
+    the two halves beside the segment for one edit, the bits of the words for more.
     The places are generated first, so that the hashing is one small expression.
     """
-    size, parts = F.col("size"), threshold + 1
-    names = ("i", "length", "at", "own", "l_at", "l_size", "r_at", "r_size")
+    size = F.col("size")
+    names = ("i", "role", "length", "at", "own", "l_at", "l_size", "r_at", "r_size")
+    empty = F.array().cast("array<struct<" + ",".join(f"{n}:int" for n in names) + ">>")
     places = []
-    for i in range(parts):
-        for delta in range(threshold + 1):
-            indexed = size - delta
-            first, length = _segment(indexed, i, parts)
-            low, high = max(-i, delta - (threshold - i)), min(i, delta + (threshold - i))
-            for shift in range(low, high + 1):
-                at = first + shift
-                rest = _rest(size, i, first, length, at, indexed) if threshold == 1 else [F.lit(0)] * 4
-                own = F.lit(i if delta == 0 and shift == 0 else i - parts)  # negative: probes only
-                fits = (indexed >= MIN_CHARS) & (at >= 0) & (at + length <= size)
-                values = (own, length, at, indexed, *rest)
-                places.append(F.when(fits, F.struct(*[v.cast("int").alias(n) for v, n in zip(values, names)])))
-    # four bytes a character: a piece is cut without walking through the line
-    wide = F.encode("line", "UTF-32").alias("wide")
-    piece = lambda at, length: F.substring("wide", F.col(at) * 4 + 1, F.col(length) * 4)
+    for delta in range(threshold + 1):
+        indexed = size - delta
+        for t in range(max(1, delta), threshold + 1):
+            found = []
+            for i in range(t + 1):
+                first, length = _segment(indexed, i, t + 1)
+                low, high = max(-i, delta - (t - i)), min(i, delta + (t - i))
+                for shift in range(low, high + 1):
+                    at = first + shift
+                    rest = _rest(size, i, first, length, at, indexed) if t == 1 else [F.lit(0)] * 4
+                    role = F.lit(t if delta == 0 and shift == 0 else -t)
+                    values = (F.lit(i), role, length, at, indexed, *rest)
+                    found.append(F.when((at >= 0) & (at + length <= size), F.struct(*[v.cast("int").alias(n) for v, n in zip(values, names)])))
+            places.append(F.when(edits_allowed(indexed, threshold) == t, F.array(*found)).otherwise(empty))
+    piece = lambda at, length: F.substring(F.col("line"), F.col(at) + 1, F.col(length))
     one, two = F.xxhash64(F.lit(7), piece("l_at", "l_size")), F.xxhash64(F.lit(9), piece("r_at", "r_size"))
-    rest = F.shiftleft(one, 32).bitwiseOR(two.bitwiseAND(F.lit(0xFFFFFFFF)))
-    return (lines.select("a", wide, F.explode(F.array(*places)).alias("e")).filter("e IS NOT NULL").select("a", "wide", "e.*")
-            .select(F.xxhash64(F.pmod("i", F.lit(parts)), "own", piece("at", "length")).alias("key"), "a", rest.alias("rest"), (F.col("i") >= 0).alias("indexed"))
+    halves = F.shiftleft(one, 32).bitwiseOR(two.bitwiseAND(F.lit(0xFFFFFFFF)))
+    bits = F.when(size >= 2 * MIN_CHARS, _word_bits(F.col("line"))).otherwise(0) if threshold > 1 else F.lit(0).cast("long")
+    return (lines.select("a", "line", bits.alias("bits"), F.explode(F.concat(*places)).alias("e")).filter("e IS NOT NULL").select("a", "line", "bits", "e.*")
+            .select(F.xxhash64("i", "own", piece("at", "length")).alias("key"), "a", F.when(F.abs("role") == 1, halves).otherwise(F.col("bits")).alias("rest"), "role")
             .distinct())
 
 
 def candidate_pairs(entries: DataFrame, threshold: int) -> DataFrame:
     """(a1, a2): distinct lines that share a segment where an alignment allows it."""
-    index = entries.filter("indexed").select(F.col("key").alias("i_key"), F.col("a").alias("a1"), F.col("rest").alias("i_rest"))
-    once = ~F.col("indexed") | (F.col("a1") < F.col("a"))
+    index = entries.filter("role > 0").select(F.col("key").alias("i_key"), F.col("a").alias("a1"), F.col("rest").alias("i_rest"), F.col("role").alias("edits"))
+    once = (F.col("role") < 0) | (F.col("a1") < F.col("a"))
     beside = F.col("i_rest").bitwiseXOR(F.col("rest"))
-    untouched = (F.shiftrightunsigned(beside, 32) == 0) | (beside.bitwiseAND(F.lit(0xFFFFFFFF)) == 0) if threshold == 1 else F.lit(True)
-    return (entries.join(index, (F.col("key") == F.col("i_key")) & (F.col("a") != F.col("a1")) & once & untouched)
+    untouched = (F.shiftrightunsigned(beside, 32) == 0) | (beside.bitwiseAND(F.lit(0xFFFFFFFF)) == 0)
+    likely = F.when(F.col("edits") == 1, untouched).otherwise(F.bit_count(beside) <= 3 * F.col("edits"))
+    return (entries.join(index, (F.col("key") == F.col("i_key")) & (F.col("a") != F.col("a1")) & once & likely)
             .select(F.least("a1", "a").alias("a1"), F.greatest("a1", "a").alias("a2")).distinct())
 
 
@@ -139,7 +159,7 @@ def _leading(a: Column, b: Column) -> Column:
 
 
 def verified(pairs: DataFrame, threshold: int) -> DataFrame:
-    """The rows of pairs (x, y, ...) of different lines whose distance is at most the threshold."""
+    """The rows of pairs (x, y, ...) of different lines whose distance is at most what the shorter one allows."""
     kept = pairs.columns
     middle = lambda words: F.slice(words, F.col("v_lead") + 1, F.size(words) - F.col("v_lead") - F.col("v_tail"))
     text = lambda words: F.array_remove(F.split(F.concat(F.array_join(words, " "), F.when(F.size(words) > 0, F.lit(" ")).otherwise(F.lit(""))), ""), "")
@@ -153,7 +173,8 @@ def verified(pairs: DataFrame, threshold: int) -> DataFrame:
         .withColumn("v_d", F.when(near, banded_distance(F.col("v_x"), F.col("v_y"), threshold)).otherwise(threshold + 1))
     )
     # generated, so that the filter is not pushed into, and repeats, the expressions above
-    return found.select(*kept, F.explode(F.array("v_d")).alias("v_d")).filter(F.col("v_d") <= threshold).select(*kept)
+    return (found.select(*kept, F.explode(F.array("v_d")).alias("v_d"))
+            .filter(F.col("v_d") <= edits_allowed(F.least(F.length("x"), F.length("y")), threshold)).select(*kept))
 
 
 def lines_of(docs: DataFrame, short: bool = False) -> DataFrame:
@@ -165,7 +186,7 @@ def lines_of(docs: DataFrame, short: bool = False) -> DataFrame:
 
 
 def near_links(lines: DataFrame, threshold: int) -> DataFrame:
-    """(a1, b1, a2, b2): different lines within the threshold, each pair once."""
+    """(a1, b1, a2, b2): different lines within the edits allowed, each pair once."""
     entries = materialize(segment_entries(lines, threshold))
     pairs = materialize(candidate_pairs(entries, threshold))
     wanted = pairs.select(F.col("a1").alias("key")).unionByName(pairs.select(F.col("a2").alias("key"))).distinct()
@@ -219,8 +240,9 @@ def line_report(docs: DataFrame, threshold: int = THRESHOLD, short: bool = False
     """doc_id, n_lines, n_equal, n_near, n_links, dropped of every row of documents.
 
     A line goes if an earlier one, by document id and place, equals it or is
-    within the threshold of edits; lines are judged on the input.  Lines of
-    fewer than MIN_CHARS characters have no edits; with `short`, as the query
+    within the edits allowed; lines are judged on the input.  The shorter of two
+    lines allows one edit for each MIN_CHARS characters, up to the threshold.
+    Lines of fewer have no edits; with `short`, as the query
     and the pipeline run it, their exact repeats go unless they are blank,
     otherwise they stay and count for nothing.
 
