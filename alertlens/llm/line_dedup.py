@@ -62,8 +62,8 @@ def _word_bits(line: Column) -> Column:
                        lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(word).bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def segment_entries(lines: DataFrame, threshold: int) -> DataFrame:
-    """(key, a, rest, role): index entries of each line, and those with which it only probes.
+def segment_entries(lines: DataFrame, threshold: int, probes: bool = True) -> DataFrame:
+    """(key, a, rest, role): index entries of each line and, with `probes`, those with which it only probes.
 
     `role` is the number of edits of the indexed length, negative in entries that
     only probe.  `rest` tells candidates apart before they are fetched: hashes of
@@ -74,14 +74,14 @@ def segment_entries(lines: DataFrame, threshold: int) -> DataFrame:
     names = ("i", "role", "length", "at", "own", "l_at", "l_size", "r_at", "r_size")
     empty = F.array().cast("array<struct<" + ",".join(f"{n}:int" for n in names) + ">>")
     places = []
-    for delta in range(threshold + 1):
+    for delta in range(threshold + 1 if probes else 1):
         indexed = size - delta
         for t in range(max(1, delta), threshold + 1):
             found = []
             for i in range(t + 1):
                 first, length = _segment(indexed, i, t + 1)
                 low, high = max(-i, delta - (t - i)), min(i, delta + (t - i))
-                for shift in range(low, high + 1):
+                for shift in range(low, high + 1) if probes else [0]:
                     at = first + shift
                     rest = _rest(size, i, first, length, at, indexed) if t == 1 else [F.lit(0)] * 4
                     role = F.lit(t if delta == 0 and shift == 0 else -t)
@@ -93,13 +93,22 @@ def segment_entries(lines: DataFrame, threshold: int) -> DataFrame:
     halves = F.shiftleft(one, 32).bitwiseOR(two.bitwiseAND(F.lit(0xFFFFFFFF)))
     bits = F.when(size >= 2 * MIN_CHARS, _word_bits(F.col("line"))).otherwise(0) if threshold > 1 else F.lit(0).cast("long")
     return (lines.select("a", "line", bits.alias("bits"), F.explode(F.concat(*places)).alias("e")).filter("e IS NOT NULL").select("a", "line", "bits", "e.*")
-            .select(F.xxhash64("i", "own", piece("at", "length")).alias("key"), "a", F.when(F.abs("role") == 1, halves).otherwise(F.col("bits")).alias("rest"), "role")
-            .distinct())
+            .select(F.xxhash64("i", "own", piece("at", "length")).alias("key"), "a", F.when(F.abs("role") == 1, halves).otherwise(F.col("bits")).alias("rest"), "role"))
 
 
-def candidate_pairs(entries: DataFrame, threshold: int) -> DataFrame:
-    """(a1, a2): distinct lines that share a segment where an alignment allows it."""
-    index = entries.filter("role > 0").select(F.col("key").alias("i_key"), F.col("a").alias("a1"), F.col("rest").alias("i_rest"), F.col("role").alias("edits"))
+def distinct_lines(lines: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(a, line, size) of each line once; only lines that may be repeated, by a filter of bounded size, are shuffled."""
+    n, narrow = repeated.count(), lines.select("a", "line", "size")
+    if n * BITS_PER_KEY // 8 > MAX_FILTER_BYTES:
+        return narrow.distinct()
+    again = BloomFilter(repeated, n, 0).passes(F.col("a")) if n else F.lit(False)
+    return narrow.filter(~again).unionByName(narrow.filter(again).distinct())
+
+
+def candidate_pairs(lines: DataFrame, threshold: int) -> DataFrame:
+    """(a1, a2): lines, each given once, that share a segment where an alignment allows it."""
+    entries = segment_entries(lines, threshold)
+    index = segment_entries(lines, threshold, probes=False).select(F.col("key").alias("i_key"), F.col("a").alias("a1"), F.col("rest").alias("i_rest"), F.col("role").alias("edits"))
     once = (F.col("role") < 0) | (F.col("a1") < F.col("a"))
     beside = F.col("i_rest").bitwiseXOR(F.col("rest"))
     untouched = (F.shiftrightunsigned(beside, 32) == 0) | (beside.bitwiseAND(F.lit(0xFFFFFFFF)) == 0)
@@ -185,10 +194,9 @@ def lines_of(docs: DataFrame, short: bool = False) -> DataFrame:
             .withColumn("a", F.xxhash64("line")).withColumn("b", F.xxhash64(F.lit(1), "line")))
 
 
-def near_links(lines: DataFrame, threshold: int) -> DataFrame:
+def near_links(lines: DataFrame, repeated: DataFrame, threshold: int) -> DataFrame:
     """(a1, b1, a2, b2): different lines within the edits allowed, each pair once."""
-    entries = materialize(segment_entries(lines, threshold))
-    pairs = materialize(candidate_pairs(entries, threshold))
+    pairs = materialize(candidate_pairs(distinct_lines(lines, repeated), threshold))
     wanted = pairs.select(F.col("a1").alias("key")).unionByName(pairs.select(F.col("a2").alias("key"))).distinct()
     n = wanted.count()
     texts = lines.select("a", "b", "line")
@@ -210,7 +218,8 @@ def dropped_lines(docs: DataFrame, threshold: int = THRESHOLD, short: bool = Fal
     lines = lines_of(docs, short)
     spots = materialize(lines.select("doc", "pos", "a", "b"))
     first = spots.groupBy("a", "b").agg(F.min(F.struct("doc.id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-    links = materialize(near_links(lines.filter(F.col("size") >= MIN_CHARS), threshold))
+    repeated = first.filter("n > 1").select(F.col("a").alias("key")).distinct()
+    links = materialize(near_links(lines.filter(F.col("size") >= MIN_CHARS), repeated, threshold))
     ends = links.unionByName(links.select(F.col("a2").alias("a1"), F.col("b2").alias("b1"), F.col("a1").alias("a2"), F.col("b1").alias("b2")))
     near = first.select(F.col("a").alias("n_a"), F.col("b").alias("n_b"), F.col("first").alias("n_first"))
     own = first.select(F.col("a").alias("o_a"), F.col("b").alias("o_b"), F.col("first").alias("o_first"))
