@@ -26,40 +26,25 @@ MIN_CHARS = 24
 LAST = 0x7FFFFFFFFFFFFFFF
 
 
-def _div(a: Column, b: int) -> Column:
-    return F.call_function("div", a, F.lit(b)).cast("int")
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b).cast("int")
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
+def _segment(length: Column, i: Column, parts: Column) -> tuple[Column, Column]:
     """(first place from 0, length) of segment i; the last ones take what is left over."""
     short, over = _div(length, parts), length % parts
-    start = short * i + F.greatest(F.lit(0), over - (parts - i))
-    return start.cast("int"), (short + F.when(over > parts - 1 - i, 1).otherwise(0)).cast("int")
-
-
-def _rest(size: Column, i: int, first: Column, length: Column, at: Column, indexed: Column) -> list[Column]:
-    """For one edit: (begin, length) of the halves of the part beside the matched segment, one of which is untouched.
-
-    `indexed` is the length of the shorter line, which sets the halves; both
-    are taken from the outer ends of the part.
-    """
-    if i == 0:
-        begin, end, own = at + length, size, indexed - length
-    else:
-        begin, end, own = F.lit(0), at, first
-    left = F.shiftright(own, 1)
-    return [begin, left, end - (own - left), own - left]
+    return short * i + F.greatest(F.lit(0), over - (parts - i)), short + (over > parts - 1 - i).cast("int")
 
 
 def edits_allowed(size: Column, threshold: int) -> Column:
     """The edits by which a line may differ from a longer one."""
-    return F.least(_div(size, MIN_CHARS), F.lit(threshold))
+    return F.least(_div(size, F.lit(MIN_CHARS)), F.lit(threshold))
 
 
 def _word_bits(line: Column) -> Column:
-    """64 bits, each the parity of the words that hash to it; an edit turns at most three."""
+    """64 bits, each the parity of the words that hash to it (a shift takes the lowest six bits); an edit turns at most three."""
     return F.aggregate(F.split(line, " "), F.lit(0).cast("long"),
-                       lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(word).bitwiseAND(F.lit(63)).cast("int"))))
+                       lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(word))))
 
 
 def segment_entries(lines: DataFrame, threshold: int, probes: bool = True) -> DataFrame:
@@ -68,32 +53,38 @@ def segment_entries(lines: DataFrame, threshold: int, probes: bool = True) -> Da
     `role` is the number of edits of the indexed length, negative in entries that
     only probe.  `rest` tells candidates apart before they are fetched: hashes of
     the two halves beside the segment for one edit, the bits of the words for more.
-    The places are generated first, so that the hashing is one small expression.
+    Segments and shifts are constant lists by the edits allowed, and places follow
+    from them: generated code that spelt out every place is too long to be compiled.
     """
-    size = F.col("size")
-    names = ("i", "role", "length", "at", "own", "l_at", "l_size", "r_at", "r_size")
-    empty = F.array().cast("array<struct<" + ",".join(f"{n}:int" for n in names) + ">>")
-    places = []
-    for delta in range(threshold + 1 if probes else 1):
-        indexed = size - delta
-        for t in range(max(1, delta), threshold + 1):
-            found = []
-            for i in range(t + 1):
-                first, length = _segment(indexed, i, t + 1)
-                low, high = max(-i, delta - (t - i)), min(i, delta + (t - i))
-                for shift in range(low, high + 1) if probes else [0]:
-                    at = first + shift
-                    rest = _rest(size, i, first, length, at, indexed) if t == 1 else [F.lit(0)] * 4
-                    role = F.lit(t if delta == 0 and shift == 0 else -t)
-                    values = (F.lit(i), role, length, at, indexed, *rest)
-                    found.append(F.when((at >= 0) & (at + length <= size), F.struct(*[v.cast("int").alias(n) for v, n in zip(values, names)])))
-            places.append(F.when(edits_allowed(indexed, threshold) == t, F.array(*found)).otherwise(empty))
-    piece = lambda at, length: F.substring(F.col("line"), F.col(at) + 1, F.col(length))
-    one, two = F.xxhash64(F.lit(7), piece("l_at", "l_size")), F.xxhash64(F.lit(9), piece("r_at", "r_size"))
-    halves = F.shiftleft(one, 32).bitwiseOR(two.bitwiseAND(F.lit(0xFFFFFFFF)))
+    size, t, delta, i, shift = (F.col(c) for c in ("size", "t", "delta", "i", "shift"))
+    empty = F.array().cast("array<struct<t:int,delta:int,i:int,shift:int>>")
+    lists = []
+    for d in range(threshold + 1 if probes else 1):
+        chosen = empty
+        for k in range(max(1, d), threshold + 1):
+            shifts = lambda n: range(max(-n, d - (k - n)), min(n, d + (k - n)) + 1) if probes else [0]  # noqa: E731, B023
+            found = [F.struct(*[F.lit(v).alias(c) for v, c in zip((k, d, n, m), ("t", "delta", "i", "shift"))]) for n in range(k + 1) for m in shifts(n)]
+            chosen = F.when(edits_allowed(size - d, threshold) == k, F.array(*found)).otherwise(chosen)
+        lists.append(chosen)
+    first, length = _segment(size - delta, i, t + 1)
     bits = F.when(size >= 2 * MIN_CHARS, _word_bits(F.col("line"))).otherwise(0) if threshold > 1 else F.lit(0).cast("long")
-    return (lines.select("a", "line", bits.alias("bits"), F.explode(F.concat(*places)).alias("e")).filter("e IS NOT NULL").select("a", "line", "bits", "e.*")
-            .select(F.xxhash64("i", "own", piece("at", "length")).alias("key"), "a", F.when(F.abs("role") == 1, halves).otherwise(F.col("bits")).alias("rest"), "role"))
+    # bits in a projection of their own: beside the generator they would be computed for each entry
+    placed = (lines.withColumn("bits", bits).withColumn("raw", F.encode("line", "UTF-32"))
+              .select("a", "size", "raw", "bits", F.explode(F.concat(*lists)).alias("e")).select("a", "size", "raw", "bits", "e.*")
+              .withColumn("length", length).withColumn("at", first + shift).filter((F.col("at") >= 0) & (F.col("at") + F.col("length") <= size)))
+    # four bytes a code point: a piece is cut without counting through the line
+    piece = lambda at, n: F.substring(F.col("raw"), at * 4 + 1, n * 4)
+    # one edit: halves of the part beside the segment, one of which is untouched, from the outer ends of the part;
+    # the shorter line sets them
+    head, at = i == 0, F.col("at")
+    own = F.when(head, size - delta - F.col("length")).otherwise(at - shift)
+    left = F.shiftright(own, 1)
+    one = F.xxhash64(F.lit(7), piece(F.when(head, at + F.col("length")).otherwise(0), left))
+    two = F.xxhash64(F.lit(9), piece(F.when(head, size).otherwise(at) - (own - left), own - left))
+    halves = F.shiftleft(one, 32).bitwiseOR(two.bitwiseAND(F.lit(0xFFFFFFFF)))
+    return placed.select(F.xxhash64("i", (size - delta).alias("own"), piece(at, F.col("length"))).alias("key"), "a",
+                         F.when(t == 1, halves).otherwise(F.col("bits")).alias("rest"),
+                         F.when((delta == 0) & (shift == 0), t).otherwise(-t).alias("role"))
 
 
 def distinct_lines(lines: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -123,11 +114,16 @@ def banded_distance(x: Column, y: Column, threshold: int) -> Column:
     A band of 2t+1 cells along the diagonal is one integer of vertical
     differences; a column of the table is a few bit operations on it.
     """
+    ahead = F.array_repeat(F.lit("\n"), threshold)  # no line holds it; lets every band begin inside
+    both_sides = F.array(F.struct(F.concat(ahead, x).alias("xs"), F.concat(ahead, y).alias("ys"), F.size(x).alias("turn")))
+    # bound once, as a lambda computes what it names at every step
+    return F.transform(both_sides, lambda s: _band(s["xs"], s["ys"], s["turn"], threshold))[0]
+
+
+def _band(xs: Column, ys: Column, turn: Column, threshold: int) -> Column:
+    """The distance of two arrays that begin with the same `threshold` symbols; turn: size of the first one without them."""
     width = 2 * threshold + 1
     mask = (1 << width) - 1
-    ahead = F.array_repeat(F.lit("\n"), threshold)  # no line holds it; lets every band begin inside
-    xs, ys = F.concat(ahead, x), F.concat(ahead, y)
-    turn = F.size(xs) - threshold
     lit = lambda v: F.lit(v).cast("int")
     both, either = lambda a, b: a.bitwiseAND(b), lambda a, b: a.bitwiseOR(b)
     flip = lambda a: a.bitwiseXOR(lit(mask))
@@ -172,18 +168,28 @@ def verified(pairs: DataFrame, threshold: int) -> DataFrame:
     kept = pairs.columns
     middle = lambda words: F.slice(words, F.col("v_lead") + 1, F.size(words) - F.col("v_lead") - F.col("v_tail"))
     text = lambda words: F.array_remove(F.split(F.concat(F.array_join(words, " "), F.when(F.size(words) > 0, F.lit(" ")).otherwise(F.lit(""))), ""), "")
-    near = ((F.abs(F.size("v_x") - F.size("v_y")) <= threshold)
-            & (F.size(F.array_except("v_x", "v_y")) <= threshold) & (F.size(F.array_except("v_y", "v_x")) <= threshold))
+    # words that differ in place, apart by more spaces than an alignment can edit: such a distance is one of the lines too
+    chars = lambda side: F.array_remove(F.split(F.array_join(F.transform("v_differ", lambda w: w[side]), " " * (threshold + 1)), ""), "")
+    allowed = edits_allowed(F.least(F.length("x"), F.length("y")), threshold)
+    in_place = F.size("v_p") == F.size("v_q")
+    # characters of differing words that the other side's lack are as many edits of the lines
+    strange = F.greatest(F.size(F.array_except("v_s", "v_t")), F.size(F.array_except("v_t", "v_s"))) > threshold
     found = (
         pairs.withColumn("v_a", F.split("x", " ")).withColumn("v_b", F.split("y", " "))
         .withColumn("v_lead", _leading(F.col("v_a"), F.col("v_b")))
         .withColumn("v_tail", F.least(_leading(F.reverse("v_a"), F.reverse("v_b")), F.least(F.size("v_a"), F.size("v_b")) - F.col("v_lead")))
-        .withColumn("v_x", text(middle(F.col("v_a")))).withColumn("v_y", text(middle(F.col("v_b"))))
-        .withColumn("v_d", F.when(near, banded_distance(F.col("v_x"), F.col("v_y"), threshold)).otherwise(threshold + 1))
+        .withColumn("v_p", middle(F.col("v_a"))).withColumn("v_q", middle(F.col("v_b")))
+        .withColumn("v_differ", F.when(in_place, F.filter(F.zip_with("v_p", "v_q", lambda u, v: F.struct(u.alias("p"), v.alias("q"))), lambda w: w["p"] != w["q"])))
+        .withColumn("v_s", chars("p")).withColumn("v_t", chars("q"))
+        .withColumn("v_near", (F.abs(F.length("x") - F.length("y")) <= threshold) & (F.size(F.array_except("v_p", "v_q")) <= 2 * threshold)
+                    & (F.size(F.array_except("v_q", "v_p")) <= 2 * threshold) & ~(in_place & strange))
+        .withColumn("v_few", F.when(F.col("v_near") & in_place, banded_distance(F.col("v_s"), F.col("v_t"), threshold)))
+        .withColumn("v_d", F.when(~F.col("v_near"), threshold + 1).when(F.col("v_few") <= allowed, F.col("v_few"))
+                    .otherwise(banded_distance(text(F.col("v_p")), text(F.col("v_q")), threshold)))
     )
     # generated, so that the filter is not pushed into, and repeats, the expressions above
     return (found.select(*kept, F.explode(F.array("v_d")).alias("v_d"))
-            .filter(F.col("v_d") <= edits_allowed(F.least(F.length("x"), F.length("y")), threshold)).select(*kept))
+            .filter(F.col("v_d") <= allowed).select(*kept))
 
 
 def lines_of(docs: DataFrame, short: bool = False) -> DataFrame:
