@@ -133,7 +133,7 @@ class MTree:
         return best
 
 
-_FOUND = "query long, vec_id long, score long"
+_FOUND = "query long, q_key long, vec_id long, score long"
 
 
 def _search_tree(longest: int, dims: int, k: int):
@@ -146,14 +146,14 @@ def _search_tree(longest: int, dims: int, k: int):
             tree = MTree(lifted(v, longest))
             q = matrix(queries["v"].to_numpy(), dims)
             points = lifted(q, longest, query=True)
-            for i, (own, known) in enumerate(zip(queries["query"].tolist(), queries["kth"].tolist())):
+            for i, (own, key, known) in enumerate(zip(queries["query"].tolist(), queries["q_key"].tolist(), queries["kth"].tolist())):
                 length2 = float((q[i] * q[i]).sum()) + longest
                 distance_of = lambda s, c=length2: float(np.sqrt(max(0.0, c - 2.0 * s)))
                 worst = np.inf if known is None or np.isnan(known) else distance_of(known)
                 # one more, as the query's own row is left out
                 best = tree.search(points[i], lambda r, x=q[i]: v[r] @ x, worst, k + int((ids == own).sum()), distance_of)
-                found += [(own, int(ids[-p]), s) for s, p in best if ids[-p] != own]
-        return pd.DataFrame(found, columns=["query", "vec_id", "score"])
+                found += [(own, key, int(ids[-p]), s) for s, p in best if ids[-p] != own]
+        return pd.DataFrame(found, columns=["query", "q_key", "vec_id", "score"])
     return run
 
 
@@ -168,7 +168,8 @@ def _visits(pivots: np.ndarray, radius: np.ndarray, longest: int, dims: int):
             low = np.stack([distances(points, p) for p in pivots], axis=1) - radius
             row, cell = np.nonzero((low <= (worst + 1e-9 * (1.0 + worst))[:, None]) & (radius >= 0))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
-                                              batch.column(2).take(pa.array(row)), pa.array(cell)], names=["query", "v", "kth", "cell"])
+                                              batch.column(2).take(pa.array(row)), batch.column(3).take(pa.array(row)), pa.array(cell)],
+                                             names=["query", "v", "kth", "q_key", "cell"])
     return run
 
 
@@ -176,7 +177,8 @@ def top_k(rows: DataFrame, every: int = 50, k: int = 5, scale: int = 256) -> Dat
     """query_id, rank, vec_id, score: the k best rows by inner product for the rows whose id is divisible by `every`.
 
     Ties go to the smaller vec_id; a query's own id is no candidate.  Fewer
-    than k candidates: all of them.  Vectors that are null or hold null or
+    than k candidates: all of them.  Rows with one id and different vectors are
+    queries of their own, each with its ranks under that id, and no candidates of each other.  Vectors that are null or hold null or
     non-finite components take no part; missing components of shorter vectors
     count as 0.  Null ids are no queries and come last among ties.  Rows that
     repeat an id and vector are one query and as many candidates.  Empty
@@ -220,15 +222,17 @@ def top_k(rows: DataFrame, every: int = 50, k: int = 5, scale: int = 256) -> Dat
         keys = ["cell", "tree", "block"]
         return asked.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(_search_tree(longest, dims, k), _FOUND)
 
+    q_key = F.xxhash64("vec_id", "v").alias("q_key")  # tells queries of one id apart
     near = queries.mapInArrow(assign(True), kind).filter(F.col("cell").isin(*cells))
-    start = (near.select(F.col("vec_id").alias("query"), "v", F.lit(None).cast("long").alias("kth"), "cell")
+    start = (near.select(F.col("vec_id").alias("query"), "v", F.lit(None).cast("long").alias("kth"), q_key, "cell")
              .withColumn("tree", F.pmod(F.xxhash64("query"), trees[F.col("cell")])).withColumn("block", block))
-    bound = (searched(start).withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"))))
-             .filter(F.col("place") == k).select(F.col("query").alias("b_query"), F.col("score").alias("kth")))
-    asked = (queries.join(bound, F.col("vec_id") == F.col("b_query"), "left").select(F.col("vec_id").alias("query"), "v", "kth")
-             .mapInArrow(_visits(pivots, radius, longest, dims), "query long, v array<long>, kth long, cell long")
+    bound = (searched(start).withColumn("place", F.row_number().over(Window.partitionBy("query", "q_key").orderBy(F.desc("score"))))
+             .filter(F.col("place") == k).select(F.col("query").alias("b_query"), F.col("q_key").alias("b_key"), F.col("score").alias("kth")))
+    asked = (queries.select("vec_id", "v", q_key).join(bound, (F.col("vec_id") == F.col("b_query")) & (F.col("q_key") == F.col("b_key")), "left")
+             .select(F.col("vec_id").alias("query"), "v", "kth", "q_key")
+             .mapInArrow(_visits(pivots, radius, longest, dims), "query long, v array<long>, kth long, q_key long, cell long")
              .withColumn("tree", F.explode(F.sequence(F.lit(0).cast("long"), trees[F.col("cell")].cast("long") - 1))).withColumn("block", block))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("vec_id"))
+    order = Window.partitionBy("query", "q_key").orderBy(F.desc("score"), F.col("vec_id"))
     return (searched(asked).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select(F.col("query").alias("query_id"), "rank", F.when(F.col("vec_id") != NO_ID, F.col("vec_id")).alias("vec_id"), "score"))
 
