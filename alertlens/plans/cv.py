@@ -2,17 +2,14 @@
 
 * folds: ``stratified_folds`` (md5-ranked, distributed);
 * imputation is fitted on each fold's training part only, and all
-  ``repeats x folds x columns`` medians come from ONE distributed job (rows
-  exploded to the training folds they belong to, exact quantiles keyed by
-  (repeat, fold, column));
-* logistic regression: all ``repeats x folds`` models are ONE Spark ML fit.
-  Each training row is exploded to the fold models it trains, and its
-  standardized features are crossed with the one-hot model id
-  (``Interaction``), so every model owns a block of weights.  With
-  ``regParam = 1 / (C * N_total)`` the joint L2 objective separates into
-  exactly the per-model problems ``(1/n_m) sum loss + ||w_m||^2 / (2 C n_m)``;
+  ``repeats x folds x columns`` exact medians come from a few passes over the
+  rows (``blocked.fold_medians``), none of which explodes them to the folds;
+* logistic regression: all ``repeats x folds`` models of all candidates are
+  fitted side by side (``blocked.fit_blocked``): a pass over the rows gives the
+  gradients of all of them.  Every model has the objective
+  ``sum loss + ||w_m||^2 / (2 C)`` over its own standardized training rows;
   a shared unpenalized intercept plus penalized per-model offsets stands in
-  for per-model unpenalized intercepts.  One L-BFGS run instead of 20;
+  for per-model unpenalized intercepts;
 * other models: the fold models are fitted concurrently from a driver thread
   pool (each fit is its own Spark job);
 * predictions stay distributed as one long OOF frame
@@ -25,18 +22,15 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Interaction, OneHotEncoder, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.folds import N_SPLITS, SEED, stratified_folds
-from ..operators.impute import apply_medians, long_format
-from ..operators.ordered import exact_quantiles
+from ..operators.impute import apply_medians
 from ..operators.rank import grouped_auc
 from ..schema import ALERT_ID, LABEL
-from .models import MAX_ITER, TOL, Factory, assemble, fit, predict
+from .blocked import Sampled, fit_blocked, fold_medians, oof_scores, with_parts
+from .models import Factory, assemble, fit, predict
 
 PARALLEL_FITS = 8
 
@@ -58,51 +52,58 @@ class CVResult:
         return self.oof_per_repeat.groupBy(ALERT_ID).agg(F.avg("score").alias("score"))
 
 
-def fold_medians(frame: DataFrame, folds: DataFrame, columns: Sequence[str],
-                 n_splits: int = N_SPLITS) -> dict[tuple[int, int], dict[str, float]]:
-    """Medians of every column over the TRAINING part of every (repeat, fold)."""
-    keyed = frame.select(ALERT_ID, *columns).join(folds, ALERT_ID)
-    long = long_format(keyed, columns, [ALERT_ID, "repeat", "fold"])
-    trains = long.withColumn("train_fold", F.explode(F.array(*[F.lit(k) for k in range(n_splits)]))) \
-        .where(F.col("train_fold") != F.col("fold"))
-    med = exact_quantiles(trains, ["repeat", "train_fold", "column"], "value", [("median", 0.5)])
-    out: dict[tuple[int, int], dict[str, float]] = {}
-    for r in med.collect():          # repeats x folds x columns numbers
-        out.setdefault((r["repeat"], r["train_fold"]), {})[r["column"]] = r["median"]
-    repeats = {r for r, _ in out} or {0}
-    return {(r, k): {c: float(out.get((r, k), {}).get(c) or 0.0) for c in columns}
-            for r in repeats for k in range(n_splits)}
-
-
 def evaluate(factory: Factory, frame: DataFrame, columns: Sequence[str],
              n_repeats: int = 4, label: str = LABEL, parallel: int = PARALLEL_FITS) -> CVResult:
     """Repeated stratified 5-fold CV of ``factory`` on ``frame[columns]``."""
     return evaluate_many(factory, frame, {"_": list(columns)}, n_repeats, label, parallel)["_"]
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """Rows with their folds, and the fold medians of columns: the same for all candidates of a search."""
+
+    columns: tuple[str, ...]
+    n_repeats: int
+    label: str
+    folds: DataFrame
+    rows: DataFrame
+    sampled: Sampled
+    medians: dict[tuple[int, int], dict[str, float]]
+
+
+def prepare(frame: DataFrame, columns: Sequence[str], n_repeats: int = 4, label: str = LABEL) -> Prepared:
+    columns = list(dict.fromkeys(columns))
+    base = frame.select(ALERT_ID, label, *columns)
+    folds = stratified_folds(base, n_repeats=n_repeats, label=label).checkpoint()
+    rows = with_parts(base, folds, columns, label, n_repeats)
+    sampled = Sampled.of(rows, columns)
+    return Prepared(tuple(columns), n_repeats, label, folds, rows, sampled, fold_medians(rows, columns, n_repeats, sampled=sampled))
+
+
 def evaluate_many(factory: Factory, frame: DataFrame, candidates: dict[str, Sequence[str]],
                   n_repeats: int = 4, label: str = LABEL, parallel: int = PARALLEL_FITS,
-                  c_values: dict[str, float] | None = None) -> dict[str, CVResult]:
+                  c_values: dict[str, float] | None = None, prepared: Prepared | None = None) -> dict[str, CVResult]:
     """CV of several candidate column sets (same folds, same fold imputers).
 
     Logistic regression: every (candidate, repeat, fold) model in ONE fit;
-    ``c_values`` optionally gives each candidate its own inverse penalty C
-    (realised by scaling that candidate's block: an L2 penalty on weights of
-    features scaled by s equals C multiplied by s^2).  Other models: one fit
-    per (candidate, repeat, fold) from a thread pool."""
+    ``c_values`` optionally gives each candidate its own inverse penalty C.  Other models: one fit
+    per (candidate, repeat, fold) from a thread pool.  ``prepared`` is what
+    ``prepare`` gave for the same frame, label, repeats and these columns or more."""
     union = list(dict.fromkeys(c for cols in candidates.values() for c in cols))
     base = frame.select(ALERT_ID, label, *union)
-    folds = stratified_folds(base, n_repeats=n_repeats, label=label).checkpoint()
-    medians = fold_medians(base, folds, union)
-    keyed = base.join(folds, ALERT_ID).checkpoint()
+    if prepared is None:
+        prepared = prepare(frame, union, n_repeats, label)
+    elif (prepared.n_repeats, prepared.label) != (n_repeats, label) or not set(union) <= set(prepared.columns):
+        raise ValueError("prepared for other columns, repeats or labels")
+    rows, folds, medians = prepared.rows, prepared.folds, prepared.medians
     names = list(candidates)
 
     if factory.name == "logreg":
-        c_ref = float(factory.params.get("C", 1.0))
-        oof = blocked_logreg_oof(keyed, union, medians, c_ref, label,
-                                 candidates={n: list(candidates[n]) for n in names},
-                                 c_values=c_values).checkpoint()
+        fitted = fit_blocked(rows, prepared.columns, medians, float(factory.params.get("C", 1.0)), label,
+                             {n: list(candidates[n]) for n in names}, c_values, sampled=prepared.sampled)
+        oof = oof_scores(rows, *fitted).checkpoint()
     else:
+        keyed = base.join(folds, ALERT_ID).checkpoint()
         sizes = {(r["repeat"], r["fold"]): r["n"] for r in
                  keyed.groupBy("repeat", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
         totals = {r: sum(v for (rr, _), v in sizes.items() if rr == r) for r in range(n_repeats)}
@@ -141,82 +142,6 @@ def evaluate_many(factory: Factory, frame: DataFrame, candidates: dict[str, Sequ
     return {n: out[n] for n in names}
 
 
-def blocked_logreg_oof(keyed: DataFrame, columns: Sequence[str],
-                      medians: dict[tuple[int, int], dict[str, float]], C: float,
-                      label: str = LABEL, n_splits: int = N_SPLITS,
-                      candidates: dict[str, list[str]] | None = None,
-                      c_values: dict[str, float] | None = None) -> DataFrame:
-    """OOF predictions of all (candidate, repeat, fold) L2 logistic regressions
-    from one fit: ``(cand, alert_id, repeat, fold, score)``.
-
-    ``keyed``: ``alert_id, label, columns..., repeat, fold``.  Per model:
-    median imputation and population standardization fitted on its training
-    rows (as the reference's impute -> scale -> logistic pipeline)."""
-    spark = keyed.sparkSession
-    columns = list(columns)
-    candidates = candidates or {"_": columns}
-    names = list(candidates)
-    n_rk = len(medians)
-    fold_model = F.col("repeat") * n_splits
-    train = (keyed.withColumn("_k", F.explode(F.array(*[F.lit(k) for k in range(n_splits)])))
-             .where(F.col("_k") != F.col("fold")).withColumn("_m", fold_model + F.col("_k")).drop("_k"))
-    valid = keyed.withColumn("_m", fold_model + F.col("fold"))
-    med_rows = [(r * n_splits + k, *[float(v[c]) for c in columns]) for (r, k), v in medians.items()]
-    med = spark.createDataFrame(med_rows, "_m int, " + ", ".join(f"`_med_{i}` double" for i in range(len(columns))))
-
-    def impute(df):
-        j = df.join(F.broadcast(med), "_m")
-        return j.select(ALERT_ID, label, "repeat", "fold", "_m",
-                        *[F.coalesce(F.col(c).cast("double"), F.col(f"_med_{i}")).alias(f"_x{i}")
-                          for i, c in enumerate(columns)])
-
-    tr, va = impute(train), impute(valid)
-    stats = tr.groupBy("_m").agg(*[a for i in range(len(columns)) for a in (
-        F.avg(f"_x{i}").alias(f"_mu{i}"), F.stddev_pop(f"_x{i}").alias(f"_sd{i}"))])
-    cand_arr = F.array(*[F.lit(n) for n in names])
-    scale_of = {n: ((c_values or {}).get(n, C) / C) ** 0.5 for n in names}
-
-    def scale(df):
-        j = df.join(F.broadcast(stats), "_m").withColumn("cand", F.explode(cand_arr))
-        s = F.lit(1.0)
-        for n in names:
-            if scale_of[n] != 1.0:
-                s = F.when(F.col("cand") == n, F.lit(scale_of[n])).otherwise(s)
-        cols = []
-        for i, c in enumerate(columns):
-            z = ((F.col(f"_x{i}") - F.col(f"_mu{i}"))
-                 / F.when(F.col(f"_sd{i}") > 0, F.col(f"_sd{i}")).otherwise(F.lit(1.0)))
-            users = [n for n in names if c in candidates[n]]
-            keep = z * s if len(users) == len(names) else F.when(F.col("cand").isin(users), z * s)
-            cols.append(F.coalesce(keep, F.lit(0.0)).alias(f"_z{i}"))
-        cand_idx = F.lit(0)
-        for idx, n in enumerate(names):
-            cand_idx = F.when(F.col("cand") == n, F.lit(idx)).otherwise(cand_idx)
-        return j.select("cand", ALERT_ID, label, "repeat", "fold",
-                        (cand_idx * n_rk + F.col("_m")).cast("double").alias("_b"),
-                        s.alias("_one"), *cols)
-
-    n_blocks = n_rk * len(names)
-    onehot = OneHotEncoder(inputCols=["_b"], outputCols=["_bv"], dropLast=False).fit(
-        spark.range(n_blocks).select(F.col("id").cast("double").alias("_b")))
-    vec = VectorAssembler(inputCols=[f"_z{i}" for i in range(len(columns))] + ["_one"], outputCol="_xv")
-    inter = Interaction(inputCols=["_bv", "_xv"], outputCol="features")
-
-    def featurize(df):
-        return inter.transform(vec.transform(onehot.transform(scale(df))))
-
-    trf = featurize(tr).select("features", F.col(label).cast("double").alias("_y")).checkpoint()
-    # (1/N) sum loss + lambda/2 ||w||^2 over all N rows of all blocks splits
-    # into per-block problems with penalty 1/(C n_m) exactly when lambda = 1/(C N)
-    n_all = trf.count()
-    lr = LogisticRegression(featuresCol="features", labelCol="_y", fitIntercept=True,
-                            standardization=False, regParam=1.0 / (C * max(n_all, 1)),
-                            elasticNetParam=0.0, maxIter=MAX_ITER, tol=TOL)
-    model = lr.fit(trf)
-    out = model.transform(featurize(va))
-    return out.select("cand", ALERT_ID, "repeat", "fold", vector_to_array("probability")[1].alias("score"))
-
-
 def cv_table(results: dict[str, CVResult], spark) -> DataFrame:
     """Metrics table ``(name, cv_mean, cv_std, score)`` of several candidates (M6)."""
     rows = [(k, v.mean, v.std, v.score) for k, v in results.items()]
