@@ -445,7 +445,10 @@ def oof_scores(rows: DataFrame, design: Design, models: list[Model], coefs: np.n
             row, part = row.repeat(times), part.repeat(times)
             ids = batch.column(ALERT_ID).take(pa.array(row))
             for name in names:
-                margins = a @ coefs[:, [column[name, p] for p in range(parts.shape[1])]]
+                own = coefs[:, [column[name, p] for p in range(parts.shape[1])]]
+                margins = np.zeros(len(row))          # term by term: a matrix product may round equal rows unequally
+                for j in np.flatnonzero(own.any(axis=1)):
+                    margins += a[row, j] * own[j, part]
                 yield {"cand": pa.array([name] * len(row), pa.string()), ALERT_ID: ids, "repeat": (part // n_splits).astype(np.int32),
-                       "fold": (part % n_splits).astype(np.int32), "score": 1.0 / (1.0 + np.exp(-np.clip(margins[row, part], -700, 700)))}
+                       "fold": (part % n_splits).astype(np.int32), "score": 1.0 / (1.0 + np.exp(-np.clip(margins, -700, 700)))}
     return _each(rows, [ALERT_ID, *design.columns, PARTS], run, f"cand string, {ALERT_ID} {kind}, repeat int, fold int, score double")

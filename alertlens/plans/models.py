@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..schema import ALERT_ID, LABEL
 
 SEED = 42
-#: solver limits of the logistic regression, the same in cross-validation and in the final fit
+#: solver limits of the logistic regression in the final fit (cross-validation: see blocked)
 MAX_ITER, TOL = 1000, 1e-9
 #: boosting rounds and trees of the registered models
 ROUNDS = 700
