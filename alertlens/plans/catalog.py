@@ -181,11 +181,11 @@ def _q(fn):
 
 
 def _stratified_folds(i):
-    return folds.stratified_folds(sc.train_frame(i), n_repeats=sc.N_REPEATS)
+    return folds.stratified_folds(sc.train_frame(i, ()), n_repeats=sc.N_REPEATS)
 
 
 def _holdout_split(i):
-    return folds.holdout_split(sc.train_frame(i), fraction=0.2)
+    return folds.holdout_split(sc.train_frame(i, ()), fraction=0.2)
 
 
 def _median_impute(i):
@@ -198,7 +198,7 @@ def _auc_by_column(i):
 
 
 def _rank_percentile(i):
-    pct = rank.rank_percentile(sc.standin_long(sc.train_frame(i)), ["model"], "score", "pct")
+    pct = rank.rank_percentile(sc.standin_long(sc.train_frame(i, sc.STANDIN_MODELS)), ["model"], "score", "pct")
     return pct.select(ALERT_ID, "model", "pct")
 
 
@@ -212,7 +212,7 @@ def _union_split(i):
 
 
 def _null_verdict(i):
-    frame = sc.train_frame(i).select(ALERT_ID, LABEL, F.col(sc.STANDIN_MODELS[0]).alias("score"))
+    frame = sc.train_frame(i, sc.STANDIN_MODELS[:1]).select(ALERT_ID, LABEL, F.col(sc.STANDIN_MODELS[0]).alias("score"))
     seeds = frame.withColumn("seed", F.explode(F.array(*[F.lit(folds.SEED + p)
                                                          for p in range(sc.N_PERMUTATIONS)])))
     shuffled = rank.permute(seeds, ALERT_ID, LABEL, "seed", keys=["seed"])
@@ -222,7 +222,7 @@ def _null_verdict(i):
 
 
 def _repeat_aucs(i):
-    oof = sc.standin_oof(sc.train_frame(i))
+    oof = sc.standin_oof(sc.train_frame(i, sc.STANDIN_MODELS))
     return rank.grouped_auc(oof, ["model", "repeat"], "score", LABEL)
 
 
@@ -234,11 +234,11 @@ def _cv_summary(i):
 
 
 def _rank_average(i):
-    return blend.rank_average(sc.standin_long(sc.train_frame(i)), sc.STANDIN_MODELS)
+    return blend.rank_average(sc.standin_long(sc.train_frame(i, sc.STANDIN_MODELS)), sc.STANDIN_MODELS)
 
 
 def _blend_by_repeat(i):
-    train = sc.train_frame(i)
+    train = sc.train_frame(i, sc.STANDIN_MODELS)
     oof = sc.standin_oof(train)
     per = blend.score_blend(oof, train, sc.STANDIN_MODELS)
     return (per.withColumn("blend_mean", per.agg(F.avg("auc")).scalar())
@@ -246,15 +246,15 @@ def _blend_by_repeat(i):
 
 
 def _weight_grid(i):
-    return blend.weight_grid(sc.standin_pct_wide(sc.train_frame(i)), sc.GRID_MODELS)
+    return blend.weight_grid(sc.standin_pct_wide(sc.train_frame(i, sc.GRID_MODELS)), sc.GRID_MODELS)
 
 
 def _weight_choice(i):
-    return blend.choose_weights(sc.standin_pct_wide(sc.train_frame(i)), sc.GRID_MODELS)
+    return blend.choose_weights(sc.standin_pct_wide(sc.train_frame(i, sc.GRID_MODELS)), sc.GRID_MODELS)
 
 
 def _test_scores(i):
-    return blend.rank_average(sc.standin_long(sc.test_frame(i)), sc.STANDIN_MODELS)
+    return blend.rank_average(sc.standin_long(sc.test_frame(i, sc.STANDIN_MODELS)), sc.STANDIN_MODELS)
 
 
 def _result_check(i):
@@ -332,7 +332,7 @@ def _ablation_verdict(i):
 def _standin_trace(i):
     """A trace without a model: in round r a family scores the ROC-AUC of its r-th column, the best one is accepted."""
     columns = {(r, f): feat.family_columns(f)[r - 1] for r in range(1, sc.TRACE_ROUNDS + 1) for f in FAMILIES}
-    long = impute.long_format(sc.train_frame(i), list(columns.values()), [ALERT_ID, LABEL])
+    long = impute.long_format(sc.train_frame(i, list(columns.values())), list(columns.values()), [ALERT_ID, LABEL])
     aucs = rank.grouped_auc(long, ["column"], "value", LABEL)
     offers = i.spark.createDataFrame([(r, f, r, c) for (r, f), c in columns.items()], "round int, family string, n_columns int, column string")
     from pyspark.sql import Window

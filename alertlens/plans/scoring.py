@@ -9,6 +9,8 @@ model's OOF vector has.
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..operators.folds import stratified_folds
 from ..operators.impute import apply_medians, fit_medians
 from ..operators.rank import rank_percentile
 from ..schema import ALERT_ID, LABEL, SPLIT
+from ..session import written_once
 
 # --- fixed values: stand-in models (feature columns used as scores) --------
 STANDIN_MODELS = ("base_mean", "dir_sh_out", "win_rate30", "amt_q90")
@@ -29,7 +32,7 @@ TRACE_ROUNDS = 3
 
 
 # Feature tables written in this session: (application, input, input mtimes)
-# -> (checkpointed frame, train medians).  Like a feature store: the history
+# -> (frame stored by column, train medians).  Like a feature store: the history
 # shuffle is paid once per input, every model stage reads the written table.
 _WRITTEN: dict[tuple, dict] = {}
 
@@ -50,7 +53,7 @@ def _written(inputs) -> dict:
     key = _input_key(inputs)
     if key not in _WRITTEN:
         f = feat.build_features(inputs.history, inputs.alerts, reference=inputs.train)
-        _WRITTEN[key] = {"features": f.join(inputs.alerts.select(ALERT_ID, LABEL, SPLIT), ALERT_ID).checkpoint()}
+        _WRITTEN[key] = {"features": written_once(f.join(inputs.alerts.select(ALERT_ID, LABEL, SPLIT), ALERT_ID))}
     return _WRITTEN[key]
 
 
@@ -69,20 +72,25 @@ def feature_frame(inputs) -> DataFrame:
     return _written(inputs)["features"]
 
 
-def imputed(inputs) -> DataFrame:
-    """Features imputed with medians fitted on the train split."""
+def imputed(inputs, columns: Sequence[str] | None = None) -> DataFrame:
+    """Features imputed with medians fitted on the train split: all of them, or
+    ``columns`` alone beside id, label and split.  The medians of a column are
+    fitted once per input, when the column is first asked for."""
     w = _written(inputs)
-    if "medians" not in w:
-        w["medians"] = fit_medians(w["features"].where(F.col(SPLIT) == "train"), feat.feature_columns())
-    return apply_medians(w["features"], w["medians"])
+    medians = w.setdefault("medians", {})
+    columns = list(feat.feature_columns() if columns is None else columns)
+    missing = [c for c in columns if c not in medians]
+    if missing:
+        medians.update(fit_medians(w["features"].where(F.col(SPLIT) == "train"), missing))
+    return apply_medians(w["features"].select(ALERT_ID, *columns, LABEL, SPLIT), {c: medians[c] for c in columns})
 
 
-def train_frame(inputs) -> DataFrame:
-    return imputed(inputs).where(F.col(SPLIT) == "train")
+def train_frame(inputs, columns: Sequence[str] | None = None) -> DataFrame:
+    return imputed(inputs, columns).where(F.col(SPLIT) == "train")
 
 
-def test_frame(inputs) -> DataFrame:
-    return imputed(inputs).where(F.col(SPLIT) == "test")
+def test_frame(inputs, columns: Sequence[str] | None = None) -> DataFrame:
+    return imputed(inputs, columns).where(F.col(SPLIT) == "test")
 
 
 def standin_long(frame: DataFrame, models=STANDIN_MODELS) -> DataFrame:
