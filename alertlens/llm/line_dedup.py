@@ -13,7 +13,7 @@ lines are fetched through a Bloom filter of bounded size.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertlens.llm.bloom_cascade import BITS_PER_KEY, MAX_FILTER_BYTES, BloomFilter
@@ -24,6 +24,7 @@ THRESHOLD = 2
 #: code points of the shorter line for each edit; lines of fewer have none
 MIN_CHARS = 24
 LAST = 0x7FFFFFFFFFFFFFFF
+LAST_PLACE = 0x7FFFFFFF
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -41,52 +42,41 @@ def edits_allowed(size: Column, threshold: int) -> Column:
     return F.least(_div(size, F.lit(MIN_CHARS)), F.lit(threshold))
 
 
-def _word_bits(line: Column) -> Column:
-    """64 bits, each the parity of the words that hash to it (a shift takes the lowest six bits); an edit turns at most three."""
-    return F.aggregate(F.split(line, " "), F.lit(0).cast("long"),
-                       lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(word))))
+def segment_entries(lines: DataFrame, threshold: int) -> DataFrame:
+    """(key, a, role): a line's segments, and the substrings with which it probes the index of its own and smaller lengths.
 
-
-def segment_entries(lines: DataFrame, threshold: int, probes: bool = True) -> DataFrame:
-    """(key, a, rest, role): index entries of each line and, with `probes`, those with which it only probes.
-
-    `role` is the number of edits of the indexed length, negative in entries that
-    only probe.  `rest` tells candidates apart before they are fetched: hashes of
-    the two halves beside the segment for one edit, the bits of the words for more.
+    `role` is the number of edits of the indexed length, negative in entries that only probe.
     Segments and shifts are constant lists by the edits allowed, and places follow
     from them: generated code that spelt out every place is too long to be compiled.
     """
     size, t, delta, i, shift = (F.col(c) for c in ("size", "t", "delta", "i", "shift"))
     empty = F.array().cast("array<struct<t:int,delta:int,i:int,shift:int>>")
     lists = []
-    for d in range(threshold + 1 if probes else 1):
+    for d in range(threshold + 1):
         chosen = empty
         for k in range(max(1, d), threshold + 1):
-            shifts = lambda n: range(max(-n, d - (k - n)), min(n, d + (k - n)) + 1) if probes else [0]  # noqa: E731, B023
+            shifts = lambda n: range(max(-n, d - (k - n)), min(n, d + (k - n)) + 1)  # noqa: E731, B023
             found = [F.struct(*[F.lit(v).alias(c) for v, c in zip((k, d, n, m), ("t", "delta", "i", "shift"))]) for n in range(k + 1) for m in shifts(n)]
             chosen = F.when(edits_allowed(size - d, threshold) == k, F.array(*found)).otherwise(chosen)
         lists.append(chosen)
     first, length = _segment(size - delta, i, t + 1)
-    bits = F.when(size >= 2 * MIN_CHARS, _word_bits(F.col("line"))).otherwise(0) if threshold > 1 else F.lit(0).cast("long")
-    # bits in a projection of their own: beside the generator they would be computed for each entry
-    placed = (lines.withColumn("bits", bits).withColumn("raw", F.encode("line", "UTF-32"))
-              .select("a", "size", "raw", "bits", F.explode(F.concat(*lists)).alias("e")).select("a", "size", "raw", "bits", "e.*")
+    placed = (lines.withColumn("raw", F.encode("line", "UTF-32"))
+              .select("a", "size", "raw", F.explode(F.concat(*lists)).alias("e")).select("a", "size", "raw", "e.*")
               .withColumn("length", length).withColumn("at", first + shift).filter((F.col("at") >= 0) & (F.col("at") + F.col("length") <= size)))
     # four bytes a code point: a piece is cut without counting through the line
-    piece = lambda at, n: F.substring(F.col("raw"), at * 4 + 1, n * 4)
-    # one edit: halves of the part beside the segment, one of which is untouched, from the outer ends of the part;
-    # the shorter line sets them
-    head, at = i == 0, F.col("at")
-    own = F.when(head, size - delta - F.col("length")).otherwise(at - shift)
-    left = F.shiftright(own, 1)
-    one = F.xxhash64(F.lit(7), piece(F.when(head, at + F.col("length")).otherwise(0), left))
-    two = F.xxhash64(F.lit(9), piece(F.when(head, size).otherwise(at) - (own - left), own - left))
-    halves = F.shiftleft(one, 32).bitwiseOR(two.bitwiseAND(F.lit(0xFFFFFFFF)))
-    return placed.select(F.xxhash64("i", (size - delta).alias("own"), piece(at, F.col("length"))).alias("key"), "a",
-                         F.when(t == 1, halves).otherwise(F.col("bits")).alias("rest"),
+    piece = F.substring(F.col("raw"), F.col("at") * 4 + 1, F.col("length") * 4)
+    return placed.select(F.xxhash64("i", (size - delta).alias("own"), piece).alias("key"), "a",
                          F.when((delta == 0) & (shift == 0), t).otherwise(-t).alias("role"))
 
 
+def shared_entries(lines: DataFrame, threshold: int) -> DataFrame:
+    """The entries of the lines, each given once, whose key is indexed and held by another line too."""
+    same = Window.partitionBy("key")
+    return (segment_entries(lines, threshold)
+            .withColumn("low", F.min("a").over(same)).withColumn("high", F.max("a").over(same)).withColumn("top", F.max("role").over(same))
+            .filter((F.col("low") != F.col("high")) & (F.col("top") > 0)).select("key", "a", "role"))
+
+
 def distinct_lines(lines: DataFrame, repeated: DataFrame) -> DataFrame:
     """(a, line, size) of each line once; only lines that may be repeated, by a filter of bounded size, are shuffled."""
     n, narrow = repeated.count(), lines.select("a", "line", "size")
@@ -96,16 +86,42 @@ def distinct_lines(lines: DataFrame, repeated: DataFrame) -> DataFrame:
     return narrow.filter(~again).unionByName(narrow.filter(again).distinct())
 
 
-def candidate_pairs(lines: DataFrame, threshold: int) -> DataFrame:
-    """(a1, a2): lines, each given once, that share a segment where an alignment allows it."""
-    entries = segment_entries(lines, threshold)
-    index = segment_entries(lines, threshold, probes=False).select(F.col("key").alias("i_key"), F.col("a").alias("a1"), F.col("rest").alias("i_rest"), F.col("role").alias("edits"))
-    once = (F.col("role") < 0) | (F.col("a1") < F.col("a"))
-    beside = F.col("i_rest").bitwiseXOR(F.col("rest"))
-    untouched = (F.shiftrightunsigned(beside, 32) == 0) | (beside.bitwiseAND(F.lit(0xFFFFFFFF)) == 0)
-    likely = F.when(F.col("edits") == 1, untouched).otherwise(F.bit_count(beside) <= 3 * F.col("edits"))
-    return (entries.join(index, (F.col("key") == F.col("i_key")) & (F.col("a") != F.col("a1")) & once & likely)
-            .select(F.least("a1", "a").alias("a1"), F.greatest("a1", "a").alias("a2")).distinct())
+def letter_marks(texts: DataFrame, threshold: int) -> DataFrame:
+    """(a, letters, low, high) of rows (a, b, line): sums that tell the letters of each block, and 128 bits of the letter pairs.
+
+    Letters are dealt to 2t + 1 blocks; an edit changes the letters of two blocks
+    at most, so t edits leave one as it was.  A bit is the parity of the pairs of
+    neighbours that hash to it; an edit turns four at most.
+    """
+    blocks = 2 * threshold + 1
+    at = F.col("bit")
+    letters = F.array_remove(F.split("line", ""), "")
+    turned = F.call_function("shiftleft", F.lit(1).cast("long"), at)  # a shift takes the lowest six bits
+    return (texts.withColumn("c", letters).withColumn("d", F.slice("c", 2, F.lit(LAST_PLACE)))
+            .select("a", "b", F.explode(F.arrays_zip("c", "d")).alias("p"))
+            # 40 bits a letter: a sum of 8 million does not overflow
+            .withColumn("weight", F.xxhash64("p.c").bitwiseAND(F.lit((1 << 40) - 1))).withColumn("block", F.ascii("p.c") % blocks)
+            .withColumn("bit", F.when(F.col("p.d").isNotNull(), F.hash("p.c", "p.d").bitwiseAND(F.lit(127))))
+            .groupBy("a", "b")
+            .agg(F.array(*[F.sum(F.when(F.col("block") == j, F.col("weight")).otherwise(0)) for j in range(blocks)]).alias("letters"),
+                 F.bit_xor(F.when(at < 64, turned).otherwise(0)).alias("low"), F.bit_xor(F.when(at >= 64, turned).otherwise(0)).alias("high"))
+            .select("a", "letters", "low", "high"))
+
+
+def candidate_pairs(shared: DataFrame, marks: DataFrame, threshold: int) -> DataFrame:
+    """(a1, a2): lines that share a segment where an alignment allows it, and the letters of a block."""
+    entries = (shared.join(marks.withColumnRenamed("a", "m_a"), F.col("a") == F.col("m_a"))
+               .select("key", "a", "role", "letters", "low", "high", F.posexplode("letters").alias("block", "held")))
+    index = entries.filter("role > 0").select(*[F.col(c).alias(f"i_{c}") for c in entries.columns])
+    once = (F.col("role") < 0) | (F.col("i_a") < F.col("a"))
+    turned = F.bit_count(F.col("low").bitwiseXOR(F.col("i_low"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("i_high")))
+    # a pair comes from the first block whose letters it shares
+    earlier = F.lit(False)
+    for j in range(2 * threshold):
+        earlier = earlier | ((F.col("block") > j) & (F.col("letters")[j] == F.col("i_letters")[j]))
+    return (entries.join(index, (F.col("key") == F.col("i_key")) & (F.col("block") == F.col("i_block")) & (F.col("held") == F.col("i_held"))
+                         & (F.col("a") != F.col("i_a")) & once & (turned <= 4 * F.col("i_role")) & ~earlier)
+            .select(F.least("i_a", "a").alias("a1"), F.greatest("i_a", "a").alias("a2")).distinct())
 
 
 def banded_distance(x: Column, y: Column, threshold: int) -> Column:
@@ -202,13 +218,14 @@ def lines_of(docs: DataFrame, short: bool = False) -> DataFrame:
 
 def near_links(lines: DataFrame, repeated: DataFrame, threshold: int) -> DataFrame:
     """(a1, b1, a2, b2): different lines within the edits allowed, each pair once."""
-    pairs = materialize(candidate_pairs(distinct_lines(lines, repeated), threshold))
-    wanted = pairs.select(F.col("a1").alias("key")).unionByName(pairs.select(F.col("a2").alias("key"))).distinct()
+    shared = materialize(shared_entries(distinct_lines(lines, repeated), threshold))
+    wanted = shared.select(F.col("a").alias("key")).distinct()
     n = wanted.count()
     texts = lines.select("a", "b", "line")
     if n * BITS_PER_KEY // 8 <= MAX_FILTER_BYTES:
-        texts = texts.filter(BloomFilter(wanted, n, 0).passes(F.col("a")))
-    texts = texts.distinct()
+        texts = texts.filter(BloomFilter(wanted, n, 0).passes(F.col("a")) if n else F.lit(False))
+    texts = materialize(texts.distinct())
+    pairs = candidate_pairs(shared, letter_marks(texts, threshold), threshold)
     one = texts.select(F.col("a").alias("t1"), F.col("b").alias("b1"), F.col("line").alias("x"))
     two = texts.select(F.col("a").alias("t2"), F.col("b").alias("b2"), F.col("line").alias("y"))
     both = pairs.join(one, F.col("a1") == F.col("t1")).join(two, F.col("a2") == F.col("t2")).select("a1", "b1", "a2", "b2", "x", "y")
