@@ -4,12 +4,13 @@ The edits t that a pair may differ by grow with the shorter line: one for each
 MIN_CHARS characters, up to a threshold.  Lines within t edits share one of
 t + 1 segments of the shorter one.  Segments are indexed by length and number;
 a line probes the index of its own and of slightly smaller lengths with the
-substrings that an alignment of at most t edits allows.  Candidates are verified
-by the banded bit-parallel edit distance on what lies between their common first
-and last words.
+substrings that an alignment of at most t edits allows.  Lines that meet in a
+segment and share the letters of one of 2t + 1 blocks are told apart by bits of
+their letters and letter pairs; the rest is verified by the banded bit-parallel
+edit distance on what lies between their common first and last words.
 
-Only 64-bit hashes of segments and lines are shuffled; the texts of candidate
-lines are fetched through a Bloom filter of bounded size.
+Only 64-bit hashes of segments and lines are shuffled; the texts of lines that
+share a segment are fetched through a Bloom filter of bounded size.
 """
 from __future__ import annotations
 
@@ -87,16 +88,17 @@ def distinct_lines(lines: DataFrame, repeated: DataFrame) -> DataFrame:
 
 
 def letter_marks(texts: DataFrame, threshold: int) -> DataFrame:
-    """(a, letters, low, high) of rows (a, b, line): sums that tell the letters of each block, and 128 bits of the letter pairs.
+    """(a, letters, odd, low, high) of rows (a, b, line): sums that tell the letters of each block, 64 bits of the letters, 128 of the letter pairs.
 
     Letters are dealt to 2t + 1 blocks; an edit changes the letters of two blocks
-    at most, so t edits leave one as it was.  A bit is the parity of the pairs of
-    neighbours that hash to it; an edit turns four at most.
+    at most, so t edits leave one as it was.  A bit is the parity of the letters, or
+    pairs of neighbours, that hash to it; an edit turns two, or four, at most.
     """
     blocks = 2 * threshold + 1
     at = F.col("bit")
     letters = F.array_remove(F.split("line", ""), "")
-    turned = F.call_function("shiftleft", F.lit(1).cast("long"), at)  # a shift takes the lowest six bits
+    one = lambda place: F.call_function("shiftleft", F.lit(1).cast("long"), place)  # a shift takes the lowest six bits
+    turned = one(at)
     return (texts.withColumn("c", letters).withColumn("d", F.slice("c", 2, F.lit(LAST_PLACE)))
             .select("a", "b", F.explode(F.arrays_zip("c", "d")).alias("p"))
             # 40 bits a letter: a sum of 8 million does not overflow
@@ -104,23 +106,24 @@ def letter_marks(texts: DataFrame, threshold: int) -> DataFrame:
             .withColumn("bit", F.when(F.col("p.d").isNotNull(), F.hash("p.c", "p.d").bitwiseAND(F.lit(127))))
             .groupBy("a", "b")
             .agg(F.array(*[F.sum(F.when(F.col("block") == j, F.col("weight")).otherwise(0)) for j in range(blocks)]).alias("letters"),
-                 F.bit_xor(F.when(at < 64, turned).otherwise(0)).alias("low"), F.bit_xor(F.when(at >= 64, turned).otherwise(0)).alias("high"))
-            .select("a", "letters", "low", "high"))
+                 F.bit_xor(one(F.ascii("p.c"))).alias("odd"), F.bit_xor(F.when(at < 64, turned).otherwise(0)).alias("low"), F.bit_xor(F.when(at >= 64, turned).otherwise(0)).alias("high"))
+            .select("a", "letters", "odd", "low", "high"))
 
 
 def candidate_pairs(shared: DataFrame, marks: DataFrame, threshold: int) -> DataFrame:
     """(a1, a2): lines that share a segment where an alignment allows it, and the letters of a block."""
     entries = (shared.join(marks.withColumnRenamed("a", "m_a"), F.col("a") == F.col("m_a"))
-               .select("key", "a", "role", "letters", "low", "high", F.posexplode("letters").alias("block", "held")))
+               .select("key", "a", "role", "letters", "odd", "low", "high", F.posexplode("letters").alias("block", "held")))
     index = entries.filter("role > 0").select(*[F.col(c).alias(f"i_{c}") for c in entries.columns])
     once = (F.col("role") < 0) | (F.col("i_a") < F.col("a"))
-    turned = F.bit_count(F.col("low").bitwiseXOR(F.col("i_low"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("i_high")))
+    letters = F.bit_count(F.col("odd").bitwiseXOR(F.col("i_odd")))
+    neighbours = F.bit_count(F.col("low").bitwiseXOR(F.col("i_low"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("i_high")))
     # a pair comes from the first block whose letters it shares
     earlier = F.lit(False)
     for j in range(2 * threshold):
         earlier = earlier | ((F.col("block") > j) & (F.col("letters")[j] == F.col("i_letters")[j]))
     return (entries.join(index, (F.col("key") == F.col("i_key")) & (F.col("block") == F.col("i_block")) & (F.col("held") == F.col("i_held"))
-                         & (F.col("a") != F.col("i_a")) & once & (turned <= 4 * F.col("i_role")) & ~earlier)
+                         & (F.col("a") != F.col("i_a")) & once & (letters <= 2 * F.col("i_role")) & (neighbours <= 4 * F.col("i_role")) & ~earlier)
             .select(F.least("i_a", "a").alias("a1"), F.greatest("i_a", "a").alias("a2")).distinct())
 
 
