@@ -278,43 +278,49 @@ class Model:
         return np.concatenate([own, grad[-1:]])
 
 
-def _moments(rows: DataFrame, design: Design, label: str):
+def _labels(batch: pa.RecordBatch, labels: Sequence[str]) -> np.ndarray:
+    y = _values(batch, labels)
+    if np.isnan(y).any():
+        raise ValueError(f"{', '.join(dict.fromkeys(labels))} must not be null")
+    return y
+
+
+def _moments(rows: DataFrame, design: Design, labels: Sequence[str], n_splits: int):
     """Sums and sums of squares of the design by part, positive rows by part, and the design's cross products."""
     def run(batches):
         first = second = cross = pos = 0
         for batch in batches:
-            a, parts, y = design.matrix(batch), _parts(batch).astype(float), batch.column(label).to_numpy(zero_copy_only=False)
-            if np.isnan(y).any():
-                raise ValueError(f"{label} must not be null")
-            first, second, cross, pos = first + parts.T @ a, second + parts.T @ (a * a), cross + a.T @ a, pos + parts.T @ y
+            a, parts, y = design.matrix(batch), _parts(batch).astype(float), _labels(batch, labels)
+            first, second, cross = first + parts.T @ a, second + parts.T @ (a * a), cross + a.T @ a
+            pos = pos + (parts * y.repeat(n_splits, axis=1)).sum(axis=0)
         if not isinstance(first, int):
             yield {"first": [first.tobytes()], "second": [second.tobytes()], "cross": [cross.tobytes()], "pos": [pos.tobytes()]}
 
-    got = _each(rows, [label, *design.columns, PARTS], run, "first binary, second binary, cross binary, pos binary").collect()
+    got = _each(rows, [*dict.fromkeys(labels), *design.columns, PARTS], run, "first binary, second binary, cross binary, pos binary").collect()
     if not got:
         raise ValueError("no rows to train on")
     add = lambda col: sum(np.frombuffer(r[col]) for r in got)
     return add("first").reshape(-1, design.width), add("second").reshape(-1, design.width), add("cross").reshape(design.width, -1), add("pos")
 
 
-def _gradients(rows: DataFrame, design: Design, label: str, coefs: np.ndarray, part: np.ndarray, n_splits: int) -> np.ndarray:
+def _gradients(rows: DataFrame, design: Design, labels: Sequence[str], coefs: np.ndarray, part: np.ndarray, n_splits: int) -> np.ndarray:
     """Gradient of the summed log loss of each model over its training rows: one matrix a task."""
     def run(batches):
         total = np.zeros(coefs.shape)
         for batch in batches:
-            a, y = design.matrix(batch), batch.column(label).to_numpy(zero_copy_only=False)
+            a, y = design.matrix(batch), _labels(batch, labels)
             parts = _parts(batch).astype(float)
             trained = parts.reshape(len(y), -1, n_splits).sum(axis=2).repeat(n_splits, axis=1) - parts
             rest = a @ coefs
             np.exp(-np.clip(rest, -700, 700), out=rest)
             rest += 1.0
             np.reciprocal(rest, out=rest)
-            rest -= y[:, None]
+            rest -= y[:, part // n_splits]
             rest *= trained[:, part]
             total += a.T @ rest
         yield {"total": [total.tobytes()]}
 
-    got = _each(rows, [label, *design.columns, PARTS], run, "total binary").collect()
+    got = _each(rows, [*dict.fromkeys(labels), *design.columns, PARTS], run, "total binary").collect()
     return sum(np.frombuffer(r["total"]) for r in got).reshape(coefs.shape)
 
 
@@ -344,21 +350,26 @@ class _Steps:
         return self.theta + self.length * self.direction
 
 
-def fit_blocked(rows: DataFrame, columns: Sequence[str], medians: dict[tuple[int, int], dict[str, float]], C: float, label: str,
+def fit_blocked(rows: DataFrame, columns: Sequence[str], medians: dict[tuple[int, int], dict[str, float]], C: float, label: str | Sequence[str],
                 candidates: dict[str, list[str]], c_values: dict[str, float] | None = None, n_splits: int = N_SPLITS,
-                sampled: Sampled | None = None) -> tuple[Design, list[Model], np.ndarray]:
+                sampled: Sampled | None = None, fitted_parts: Sequence[int] | None = None) -> tuple[Design, list[Model], np.ndarray]:
     """All (candidate, repeat, fold) L2 logistic regressions: the design, the models and their coefficients in it.
 
     Minimized is, over all models together, the summed log loss plus
     ``(|w_m|^2 + (a_m - b)^2) / (2 C)``: coefficients of standardized columns, and
-    intercepts a_m about a shared one b, which is free."""
+    intercepts a_m about a shared one b, which is free.  A list of labels, one a
+    repeat, makes models of different targets: each has a free intercept of its own.
+    ``fitted_parts`` are the parts whose models are wanted, all if not given."""
     columns = list(columns)
     sampled = sampled or Sampled.of(rows, columns)
     centre, scale = sampled.centre()
     n_rows = rows.count()
     design = Design(tuple(columns), centre, scale, np.flatnonzero(sampled.counts < n_rows))
-    first, second, cross, positive = _moments(rows, design, label)
-    n_parts, flag_of = len(first), {int(j): len(columns) + i for i, j in enumerate(design.missing)}
+    n_parts = len(rows.select(PARTS).first()[0]) if n_rows else 0
+    alone = not isinstance(label, str)
+    labels = list(label) if alone else [label] * (n_parts // n_splits)
+    first, second, cross, positive = _moments(rows, design, labels, n_splits)
+    flag_of = {int(j): len(columns) + i for i, j in enumerate(design.missing)}
     flags = np.array([flag_of.get(j, -1) for j in range(len(columns))], np.int64)
     trained = lambda t: t.reshape(-1, n_splits, *t.shape[1:]).sum(axis=1).repeat(n_splits, axis=0) - t
     first, second, positive = trained(first), trained(second), trained(positive)
@@ -368,7 +379,7 @@ def fit_blocked(rows: DataFrame, columns: Sequence[str], medians: dict[tuple[int
     for name, cols in candidates.items():
         c_own = (c_values or {}).get(name, C)
         at = np.array([index[c] for c in dict.fromkeys(cols)], np.int64)
-        for part in range(n_parts):
+        for part in range(n_parts) if fitted_parts is None else fitted_parts:
             n = max(first[part, -1], 1.0)
             median = (np.array([medians[divmod(part, n_splits)][columns[j]] for j in at]) - centre[at]) / scale[at]
             none = np.where(flags[at] >= 0, first[part, flags[at]], 0.0)
@@ -392,12 +403,12 @@ def fit_blocked(rows: DataFrame, columns: Sequence[str], medians: dict[tuple[int
 
     def penalty_grad(i: int, theta: np.ndarray, b: float) -> np.ndarray:
         g = theta * weight[i]
-        g[-1] -= b * weight[i]
+        g[-1] = 0.0 if alone else g[-1] - b * weight[i]
         return g
 
     def loss_grads(live: list[int], at: list[np.ndarray]) -> list[np.ndarray]:
         coefs = np.stack([models[i].spread(t) for i, t in zip(live, at)], axis=1)
-        got = _gradients(rows, design, label, coefs, np.array([models[i].part for i in live]), n_splits)
+        got = _gradients(rows, design, labels, coefs, np.array([models[i].part for i in live]), n_splits)
         return [models[i].gathered(got[:, c]) for c, i in enumerate(live)]
 
     everyone = list(range(len(models)))
@@ -419,6 +430,8 @@ def fit_blocked(rows: DataFrame, columns: Sequence[str], medians: dict[tuple[int
                 continue
             step = t - s.theta
             change = g - s.grad + step * weight[i]
+            if alone:
+                change[-1] = g[-1] - s.grad[-1]
             if step @ change > 0:
                 s.pairs = [*s.pairs[-MEMORY + 1:], (step, change)]
             s.theta, s.grad = t, g
